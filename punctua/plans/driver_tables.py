@@ -132,7 +132,8 @@ def weather_hour(day: str = "flight_date", hour: str = "dep_hour"):
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One position report per event."""
+    """One position report per event.  Whole metres, so that means do not depend on
+    the order in which engines add them up."""
     e = F.col("event_id")
     return table(spark, sf_dir, "events").select(
         "event_id",
@@ -140,7 +141,7 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" FL"), F.col("user_id"), F.lit(" ")).alias("callsign"),
         (F.lit(20.0) + F.pmod(e * 37, F.lit(3500)) / F.lit(100)).alias("lat"),
         (F.lit(-130.0) + F.pmod(e * 53, F.lit(7000)) / F.lit(100)).alias("lon"),
-        (F.col("value") * 20).alias("altitude"),
+        F.round(F.col("value") * 20, 0).alias("altitude"),
         F.col("value").alias("velocity"),
         F.pmod(e, F.lit(360)).cast("double").alias("heading"),
         (F.col("event_type") == "error").alias("on_ground"),

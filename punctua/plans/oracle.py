@@ -88,7 +88,7 @@ positions AS (
   SELECT event_id, CAST(user_id AS VARCHAR) AS icao24, ' FL' || user_id || ' ' AS callsign,
          CAST(20 AS DOUBLE) + ((event_id * 37) % 3500) / CAST(100 AS DOUBLE) AS lat,
          CAST(-130 AS DOUBLE) + ((event_id * 53) % 7000) / CAST(100 AS DOUBLE) AS lon,
-         value * 20 AS altitude, value AS velocity, CAST(event_id % 360 AS DOUBLE) AS heading,
+         round(value * 20, 0) AS altitude, value AS velocity, CAST(event_id % 360 AS DOUBLE) AS heading,
          event_type = 'error' AS on_ground, CAST(floor(epoch(ts)) AS BIGINT) AS event_ts
   FROM events
 )"""
@@ -192,6 +192,7 @@ SELECT event_id, CAST(isodow(ts) AS INTEGER) AS day_of_week, CAST(month(ts) AS I
 FROM events"""
 # Tokyo is nine hours ahead all year.  Denver is seven behind, six from the first Sunday
 # of April to the last of October, which was the rule in the years the flights cover.
+# The hour skipped in April counts as winter time, the one repeated in October as summer.
 ORACLE["weather_hour_utc"] = _flights(
     """, turns AS (
   SELECT y, a + CAST((7 - isodow(a)) AS INTEGER) AS spring,
@@ -201,7 +202,7 @@ ORACLE["weather_hour_utc"] = _flights(
 ),
 local AS (
   SELECT origin, n_nationkey, CAST(flight_date AS TIMESTAMP) + to_hours(dep_hour) AS ts,
-         CAST(spring AS TIMESTAMP) + INTERVAL 2 HOUR AS spring,
+         CAST(spring AS TIMESTAMP) + INTERVAL 3 HOUR AS spring,
          CAST(autumn AS TIMESTAMP) + INTERVAL 2 HOUR AS autumn
   FROM flights JOIN nation ON origin = n_name JOIN turns ON y = year(flight_date)
 ),
@@ -243,10 +244,10 @@ ORACLE["geo_cell"] = _positions(
 FROM (SELECT lat, lon FROM positions) GROUP BY ALL"""
 ).replace("0.5", "CAST(0.5 AS DOUBLE)")
 _ENTRIES = (
-    ("discount", "l_discount - CAST(0.05 AS DOUBLE)"),
-    ("tax", "(l_tax - CAST(0.04 AS DOUBLE)) * 2"),
-    ("quantity", "(l_quantity - 25) / 500"),
-    ("price", "(CAST(50000 AS DOUBLE) - l_extendedprice) / 1000000"),
+    ("discount", "(l_discount - CAST(0.05 AS DOUBLE)) * 50"),
+    ("tax", "(l_tax - CAST(0.04 AS DOUBLE)) * 50"),
+    ("quantity", "(l_quantity - 25) / 10"),
+    ("price", "(CAST(50000 AS DOUBLE) - l_extendedprice) / 10000"),
 )
 _SORTABLE = ", ".join(f"{{'s': -abs({c}), 'f': '{f}', 'c': {c}}}" for f, c in _ENTRIES)
 ORACLE["top_factors"] = f"""

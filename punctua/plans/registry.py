@@ -219,10 +219,10 @@ def geo_cell(spark, d):
 @query
 def top_factors(spark, d):
     entries = [
-        ("discount", F.col("l_discount"), F.col("l_discount") - 0.05),
-        ("tax", F.col("l_tax"), (F.col("l_tax") - 0.04) * 2),
-        ("quantity", F.col("l_quantity"), (F.col("l_quantity") - 25) / 500),
-        ("price", F.col("l_extendedprice"), (F.lit(50000.0) - F.col("l_extendedprice")) / 1000000),
+        ("discount", F.col("l_discount"), (F.col("l_discount") - 0.05) * 50),
+        ("tax", F.col("l_tax"), (F.col("l_tax") - 0.04) * 50),
+        ("quantity", F.col("l_quantity"), (F.col("l_quantity") - 25) / 10),
+        ("price", F.col("l_extendedprice"), (F.lit(50000.0) - F.col("l_extendedprice")) / 10000),
     ]
     rows = t.table(spark, d, "lineitem").select(
         "l_orderkey",
