@@ -45,11 +45,13 @@ def holiday_window_dates(
 
 
 def holiday_flag(
-    day: Column, first: int = HOLIDAY_YEARS[0], last: int = HOLIDAY_YEARS[1], days: int = 2
+    day: str, first: int = HOLIDAY_YEARS[0], last: int = HOLIDAY_YEARS[1], days: int = 2
 ) -> Column:
-    """1 when ``day`` lies within ``days`` of an observed holiday, else 0.
+    """1 when the date column ``day`` lies within ``days`` of an observed holiday, else 0.
 
-    About fifty dates a year: a literal set that compiles to one hash probe per
-    row, with no join and nothing to ship but the plan itself.
+    About fifty dates a year: a literal set that compiles to one hash probe per row,
+    with no join and nothing to ship but the plan itself.  Written as one SQL
+    expression because hundreds of literal columns are slow to build from Python.
     """
-    return F.when(day.isin(holiday_window_dates(first, last, days)), 1).otherwise(0)
+    dates = ", ".join(f"DATE'{d}'" for d in holiday_window_dates(first, last, days))
+    return F.expr(f"CASE WHEN `{day}` IN ({dates}) THEN 1 ELSE 0 END")

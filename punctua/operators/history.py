@@ -8,6 +8,7 @@ is as cheap as any other.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -15,14 +16,31 @@ from punctua.contract import HISTORY, LABEL, MIN_ROUTE_FLIGHTS
 from punctua.functions.timeparts import epoch_day
 
 DAY = "day_num"
+# Stand-ins that keep the totals free of nulls: one for codes, one for days, which
+# sorts before every date.
+NO_CODE = "\u0000"
+NO_DAY = -(2**40)
+
+
+def _code(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("string"), F.lit(NO_CODE))
+
+
+def _day(day: str) -> Column:
+    return F.coalesce(epoch_day(F.col(day)), F.lit(NO_DAY))
 
 
 def daily_totals(
     facts: DataFrame, keys: Sequence[str], label: str = LABEL, day: str = "flight_date"
 ) -> DataFrame:
-    """Label sum and row count per key and day."""
+    """Label sum and row count per key and day.
+
+    Codes and days are never null in the result.  Joins on them then add no filters
+    of their own, so that all uses of these totals in one plan stay identical and
+    Spark computes and shuffles them once.
+    """
     return (
-        facts.withColumn(DAY, epoch_day(F.col(day)))
+        facts.select(*[_code(k).alias(k) for k in keys], _day(day).alias(DAY), F.col(label))
         .groupBy(*keys, DAY)
         .agg(F.sum(label).alias("_sum"), F.count("*").alias("_cnt"))
     )
@@ -34,6 +52,17 @@ def overall_rate(daily: DataFrame) -> Column:
     return daily.agg(F.coalesce(mean, F.lit(0.0)).alias("rate")).scalar()
 
 
+def _rate_before(keys: Sequence[str], prior: Column) -> Column:
+    """Mean label of the earlier days of the entity; an unknown entity has none."""
+    earlier = (
+        Window.partitionBy(*keys).orderBy(DAY).rangeBetween(Window.unboundedPreceding, -1)
+    )
+    count = F.sum("_cnt").over(earlier)
+    rate = F.sum("_sum").over(earlier).cast("double") / F.nullif(count, F.lit(0))
+    known = reduce(lambda a, b: a & b, [F.col(k) != NO_CODE for k in keys])
+    return F.coalesce(F.when(known, rate), prior)
+
+
 def prior_rate(daily: DataFrame, keys: Sequence[str], out: str, prior: Column) -> DataFrame:
     """Mean label over the days before each (key, day); ``prior`` with no such day.
 
@@ -42,14 +71,7 @@ def prior_rate(daily: DataFrame, keys: Sequence[str], out: str, prior: Column) -
     totals = daily.groupBy(*keys, DAY).agg(
         F.sum("_sum").alias("_sum"), F.sum("_cnt").alias("_cnt")
     )
-    earlier = (
-        Window.partitionBy(*keys).orderBy(DAY).rangeBetween(Window.unboundedPreceding, -1)
-    )
-    count = F.sum("_cnt").over(earlier)
-    rate = F.sum("_sum").over(earlier).cast("double") / F.nullif(count, F.lit(0))
-    return totals.select(*keys, DAY, rate.alias("_rate")).select(
-        *keys, DAY, F.coalesce("_rate", prior).alias(out)
-    )
+    return totals.select(*keys, DAY, _rate_before(keys, prior).alias(out))
 
 
 def with_history(
@@ -70,14 +92,28 @@ def with_history(
     daily = daily_totals(facts, keys, label, day)
     basis = daily
     if prior_years is not None:
-        basis = daily.where(F.year(F.date_from_unix_date(F.col(DAY).cast("int"))).isin(*prior_years))
+        date = F.date_from_unix_date(F.col(DAY).cast("int"))
+        basis = daily.where((F.col(DAY) > NO_DAY) & F.year(date).isin(*prior_years))
     prior = overall_rate(basis)
-    rates = daily.select(*keys, DAY)
+    # The entity with the most keys is windowed on the totals themselves, the others on
+    # sums of them.  Its share of the totals is bounded by days times the other codes.
+    widest = max(entities, key=lambda e: len(entities[e]))
+    placed = daily.repartition(*entities[widest])
+    rates = placed.withColumn(widest, _rate_before(entities[widest], prior)).drop("_sum", "_cnt")
     for out, entity in entities.items():
-        rates = rates.join(prior_rate(daily, entity, out, prior), [*entity, DAY])
-    joined = facts.withColumn(DAY, epoch_day(F.col(day))).join(rates, [*keys, DAY], "left")
-    # A null key matches nothing; such rows get the neutral rate.
-    return joined.withColumns({c: F.coalesce(c, prior) for c in entities})
+        if out != widest:
+            rates = rates.join(prior_rate(daily, entity, out, prior), [*entity, DAY])
+    # A hash of all keys leads the join: sorting by one long settles almost every
+    # comparison that would otherwise walk through several strings.
+    where_to = F.xxhash64(*[_code(k) for k in keys], _day(day))
+    carried = rates.select(
+        F.xxhash64(*keys, DAY).alias("_at"),
+        *[F.col(c).alias(f"_{c}") for c in (*keys, DAY)],
+        *entities,
+    )
+    same = [where_to == F.col("_at")]
+    same += [_code(k) == F.col(f"_{k}") for k in keys] + [_day(day) == F.col(f"_{DAY}")]
+    return facts.join(carried, same, "left").drop("_at", *[f"_{c}" for c in (*keys, DAY)])
 
 
 def fit_base_rates(

@@ -29,7 +29,13 @@ def exact_medians(
         ),
     ).where(F.col("_v").isNotNull())
     counts = values.groupBy(*group, "_v").agg(F.count("*").alias("_n"))
-    span = counts.groupBy(*group).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    # Every count is positive; asking for it keeps both uses of the counts identical,
+    # so that they are shuffled once.
+    span = (
+        counts.where(F.col("_n") > 0)
+        .groupBy(*group)
+        .agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    )
     share = (F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo"))
     slot = F.when(
         F.col("_hi") > F.col("_lo"), F.least(F.floor(share * bins), F.lit(bins - 1))

@@ -97,15 +97,19 @@ def temporal_slices(
     on_cut_shares = on_cut_days.drop("left").join(F.broadcast(shares), ["cut", "day", "share"])
     cuts = _locate(on_cut_shares, ["cut", "day", "share"], list(ties))
 
-    def cut_key(which: int) -> Column:
-        key = F.struct("day", "share", *ties)
-        return cuts.where(F.col("cut") == which).agg(F.max(key).alias("key")).scalar()
+    # One row, two keys: a single subquery that both comparisons share.
+    key = F.struct("day", "share", *ties)
+    keys = cuts.agg(
+        F.struct(
+            *[F.max(F.when(F.col("cut") == n, key)).alias(f"c{n}") for n in (1, 2)]
+        ).alias("keys")
+    ).scalar()
+    mine = F.struct(spread_key(ties).alias("share"), *ties)
 
     def before(which: int) -> Column:
-        key = cut_key(which)
-        rest = F.struct(key["share"].alias("share"), *[key[t].alias(t) for t in ties])
-        mine = F.struct(spread_key(ties).alias("share"), *ties)
-        return (F.col(day) < key["day"]) | ((F.col(day) == key["day"]) & (mine < rest))
+        cut = keys[f"c{which}"]
+        rest = F.struct(cut["share"].alias("share"), *[cut[t].alias(t) for t in ties])
+        return (F.col(day) < cut["day"]) | ((F.col(day) == cut["day"]) & (mine < rest))
 
     return df.withColumn(
         out, F.when(before(1), "fit").when(before(2), "valid").otherwise("calib")

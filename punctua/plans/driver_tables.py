@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from punctua.contract import LABEL
 from punctua.functions.timeparts import hour_key, iso_weekday
+from punctua.session import stored
 from punctua.plans.silver import silver_airports, silver_flights, silver_weather, staged_flights
 
 HOLIDAYS = (1994, 2002)
@@ -20,8 +21,25 @@ WEATHER_START = "2024-01-01"
 WEATHER_DAYS = 30
 
 
+# Column types of the tables in use: reading with a schema skips a job per table.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,25 +48,29 @@ def bronze_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``cancelled``, the ends and the carrier come from joins on keys; the columns
     that line items cannot provide are left out and become null in silver.
     """
-    line = table(spark, sf_dir, "lineitem")
     nation = table(spark, sf_dir, "nation")
-    suppliers = table(spark, sf_dir, "supplier").join(
-        nation, F.col("s_nationkey") == F.col("n_nationkey")
-    ).select("s_suppkey", F.col("n_name").alias("origin"))
-    customers = table(spark, sf_dir, "customer").join(
-        nation, F.col("c_nationkey") == F.col("n_nationkey")
-    ).select("c_custkey", F.col("n_name").alias("dest"))
+    start = nation.select(F.col("n_nationkey").alias("_sk"), F.col("n_name").alias("origin"))
+    end = nation.select(F.col("n_nationkey").alias("_ek"), F.col("n_name").alias("dest"))
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    # Plain tables on the right, one after the other: the planner knows their sizes,
+    # which it would have to guess for a join of two of them.
     orders = (
         table(spark, sf_dir, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        .join(end, F.col("c_nationkey") == F.col("_ek"))
         .select("o_orderkey", "o_orderstatus", "o_orderpriority", "dest")
     )
+    line = (
+        table(spark, sf_dir, "lineitem")
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(start, F.col("s_nationkey") == F.col("_sk"))
+    )
     day = F.to_date("l_shipdate")
     late = F.col("l_returnflag") == "R"
     slot = F.pmod(F.col("l_partkey") * 7 + F.col("l_linenumber"), F.lit(25))
     return (
         line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
             day.alias("flight_date"),
             F.year(day).alias("year"),
@@ -118,6 +140,15 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_flights(bronze_flights(spark, sf_dir), bronze_airports(spark, sf_dir), HOLIDAYS)
 
 
+def stored_flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Silver flights as a written table, for plans that read them several times.
+
+    That is how silver exists in a lake; here it saves repeating the joins above.
+    """
+    rows = flights(spark, sf_dir)
+    return stored(rows.select(*columns) if columns else rows)
+
+
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_flights(flights(spark, sf_dir))
 

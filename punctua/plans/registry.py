@@ -15,6 +15,7 @@ from punctua.functions import geo, holidays, scores, text, timeparts
 from punctua.operators import history, joins, keyed, medians, metrics, quality, slices
 from punctua.plans import driver_tables as t, gold, marts, serving
 from punctua.plans.learn import quality_gate
+from punctua.plans.silver import staged_flights
 from punctua.sources import airports as airport_source, documents, maintain, tables
 from punctua.streaming.congestion import Windows, as_messages, congestion, parse_messages, positions_of
 
@@ -131,12 +132,8 @@ def dim_patch(spark, d):
 
 @query
 def holiday_window(spark, d):
-    day = F.to_date("o_orderdate")
-    return t.table(spark, d, "orders").select(
-        "o_orderkey",
-        day.alias("day"),
-        holidays.holiday_flag(day, *t.HOLIDAYS).alias("is_holiday_window"),
-    )
+    days = t.table(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"))
+    return days.withColumn("is_holiday_window", holidays.holiday_flag("day", *t.HOLIDAYS))
 
 
 @query
@@ -499,7 +496,7 @@ def route_lookup(spark, d):
 
 @query
 def airport_bridge(spark, d):
-    staged = t.staged(spark, d)
+    staged = staged_flights(t.stored_flights(spark, d))
     dim = marts.dim_airports(t.airports(spark, d))
     docs = serving.airport_documents(
         dim,
@@ -542,8 +539,8 @@ def route_medians(spark, d):
 
 
 def _served(spark, d) -> DataFrame:
-    flights = t.flights(spark, d)
-    staged = t.staged_flights(flights)
+    flights = t.stored_flights(spark, d)
+    staged = staged_flights(flights)
     train, _ = slices.temporal_split(flights, t.TRAIN, t.TEST)
     early = flights.where(F.col("year") < 1998)
     return serving.request_features(
@@ -574,14 +571,19 @@ def serve_features(spark, d):
 # --- history, enrichment, features --------------------------------------------------------
 
 
+HISTORY_INPUT = (FLIGHT, "flight_date", "origin", "dest", "carrier", LABEL)
+
+
 @query
 def hist_features(spark, d):
-    return history.with_history(t.flights(spark, d)).select(FLIGHT, *gold.HISTORY_COLUMNS)
+    rows = t.stored_flights(spark, d, *HISTORY_INPUT)
+    return history.with_history(rows).select(FLIGHT, *gold.HISTORY_COLUMNS)
 
 
 @query
 def hist_features_train_prior(spark, d):
-    rows = history.with_history(t.flights(spark, d), prior_years=t.TRAIN)
+    rows = t.stored_flights(spark, d, *HISTORY_INPUT)
+    rows = history.with_history(rows, prior_years=t.TRAIN)
     return rows.select(FLIGHT, *gold.HISTORY_COLUMNS)
 
 
@@ -605,7 +607,8 @@ def weather_join(spark, d):
 
 @query
 def gold_features(spark, d):
-    return gold.gold_features(t.flights(spark, d), t.weather(spark, d), hour=t.weather_hour())
+    rows = t.stored_flights(spark, d)
+    return gold.gold_features(rows, t.weather(spark, d), hour=t.weather_hour())
 
 
 # --- learning and evaluation --------------------------------------------------------------
@@ -622,9 +625,9 @@ def temporal_split(spark, d):
 
 @query
 def temporal_slices(spark, d):
-    train, _ = slices.temporal_split(t.flights(spark, d), t.TRAIN, t.TEST)
-    rows = train.select("flight_date", FLIGHT)
-    return slices.temporal_slices(rows, [FLIGHT])
+    rows = t.stored_flights(spark, d, "year", "flight_date", FLIGHT)
+    train, _ = slices.temporal_split(rows, t.TRAIN, t.TEST)
+    return slices.temporal_slices(train.drop("year"), [FLIGHT])
 
 
 @query

@@ -207,7 +207,7 @@ def request_features(
             "day_of_week": iso_weekday(day),
             "month": F.month(day),
             "time_of_day_bucket": day_part(at),
-            "is_holiday_window": holiday_flag(day, *holiday_years).cast("double"),
+            "is_holiday_window": holiday_flag("flight_date", *holiday_years).cast("double"),
             "route_hist_delay_rate": F.coalesce("_route", "baseline_probability"),
             "origin_hist_delay_rate": F.coalesce(F.col("_origin"), prior),
             "carrier_hist_delay_rate": F.coalesce(F.col("_carrier"), prior),

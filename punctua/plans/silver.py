@@ -93,7 +93,7 @@ def silver_flights(
         {
             "flight_ts": hour_ts(F.col("flight_date"), F.col("dep_hour")),
             "time_of_day_bucket": day_part(F.col("dep_hour")),
-            "is_holiday_window": holiday_flag(F.col("flight_date"), *holiday_years),
+            "is_holiday_window": holiday_flag("flight_date", *holiday_years),
         }
     ).select(*SILVER_FLIGHT_COLUMNS)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,13 +19,16 @@ RUNTIME = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Only at session start: no call-site record for every column built from Python.
+STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app: str = "punctua", master: str | None = None, **extra) -> SparkSession:
     """Create (or get) a session.  Memory and cores are the submitter's business."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME, **extra}.items():
+    for key, value in {**RUNTIME, **STATIC, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -62,3 +66,15 @@ def cut(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table below the checkpoint folder and read it back.
+
+    For a result that several parts of one plan read, each its own few columns: a
+    column store serves them better than a checkpoint of whole rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
