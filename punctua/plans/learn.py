@@ -139,13 +139,11 @@ def train_model(
         (F.col("slice") == "valid").alias("_valid"),
     )
     encoded = assembler.transform(codes.transform(prepared(rows)))
-    trees = GBTClassifier(
+    booster = GBTClassifier(
         labelCol="_y",
         weightCol="_w",
         featuresCol="features",
         predictionCol="_cls",
-        probabilityCol="_p",
-        rawPredictionCol="_margin",
         validationIndicatorCol="_valid",
         maxIter=boosting.rounds,
         stepSize=boosting.learning_rate,
@@ -157,7 +155,9 @@ def train_model(
         featureSubsetStrategy=boosting.feature_share,
         validationTol=boosting.tolerance,
         seed=boosting.seed,
-    ).fit(encoded.select("features", "_y", "_w", "_valid"))
+    )
+    booster.setProbabilityCol("_p").setRawPredictionCol("_margin")
+    trees = booster.fit(encoded.select("features", "_y", "_w", "_valid"))
     return PipelineModel([codes, assembler, trees])
 
 

@@ -238,7 +238,10 @@ def choose_snapshot(candidates: DataFrame, now: Column, keys: tuple[str, ...] =
     depends on its age alone, whichever tier it came from; a sample has no age.
     """
     best = first_by_key(candidates.where(F.col("count") > 0), list(keys), ["tier"])
-    age = F.greatest(F.lit(0).cast("bigint"), now.cast("bigint") - F.col("as_of"))
+    # No time at all means just taken; a zero is a clock that was never set.
+    age = F.when(F.col("as_of").isNull(), F.lit(0)).when(
+        F.col("as_of") != 0, F.greatest(F.lit(0), now - F.col("as_of"))
+    )
     sample = F.col("tier") == 3
     return best.withColumns(
         {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import logging
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,7 +19,7 @@ from punctua.contract import (
     SEED_FLIGHT_TYPES,
 )
 from punctua.functions.text import snake_name
-from punctua.sources.tables import enforce_types
+from punctua.sources.tables import enforce_types, union_by_name
 
 log = logging.getLogger(__name__)
 
@@ -49,21 +49,27 @@ def check_keep_list() -> None:
         raise AssertionError("the label is not among the kept columns")
 
 
-def read_flights_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Wide monthly CSV.  Every field is read as text and then cast.
+def read_flights_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Wide CSV files with one header.  Every field is read as text and then cast.
 
     Reading as text needs no inference pass over the data, and gives every month
-    the same types.  Only the header of one file is looked at.
+    the same types.  Only a header line is looked at; a file with another header
+    is an error rather than a silent shift of columns.
     """
     raw = (
         spark.read.option("header", True)
-        .option("encoding", "latin-1")
+        .option("encoding", "iso-8859-1")
         .option("enforceSchema", False)
         .csv(path)
     )
     return keep_and_rename(raw)
 
 
+def read_flight_months(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
+    """Monthly CSV files whose headers may differ, matched by column name."""
+    return union_by_name(read_flights_csv(spark, path) for path in paths)
+
+
 def read_flights_zip(spark: SparkSession, path: str, chunk_rows: int = 50_000) -> DataFrame:
     """Zipped monthly CSV files, one archive per row of a binary scan.
 
