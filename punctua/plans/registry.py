@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from punctua.contract import CATEGORICAL, LABEL, WEATHER_FILL
 from punctua.functions import geo, holidays, scores, text, timeparts
 from punctua.operators import history, joins, keyed, medians, metrics, quality, slices
-from punctua.plans import driver_tables as t, gold, marts, serving
-from punctua.plans.learn import quality_gate
+from punctua.plans import driver_tables as t, gold, learn, marts, serving
 from punctua.plans.silver import staged_flights
+from punctua.session import stored
 from punctua.sources import airports as airport_source, documents, maintain, tables
 from punctua.streaming.congestion import Windows, as_messages, congestion, parse_messages, positions_of
 
@@ -701,13 +701,46 @@ def evaluation(spark, d):
     )
 
 
+def _trained(spark, d) -> tuple[learn.Bundle, DataFrame, DataFrame]:
+    """A small model on the stored feature table: few rounds, the whole table."""
+    table = stored(gold_features(spark, d))
+    settings = learn.Boosting(rounds=5, learning_rate=0.2, max_depth=4)
+    bundle, results = learn.train_bundle(table, t.TRAIN, t.TEST, settings)
+    return bundle, results, table
+
+
+@query
+def train_and_evaluate(spark, d):
+    return _trained(spark, d)[1]
+
+
+@query
+def batch_score(spark, d):
+    """Scores and factors of the test years by a model of the training years."""
+    bundle, _, table = _trained(spark, d)
+    _, test = slices.temporal_split(table, t.TRAIN, t.TEST)
+    scored = learn.batch_score(bundle, test)
+    return scored.select(
+        "flight_date",
+        "origin",
+        "dest",
+        "carrier",
+        "dep_hour",
+        "delay_probability",
+        "risk_band",
+        "baseline_probability",
+        "beats_baseline",
+        *[F.col("top_factors")[i]["feature"].alias(f"factor_{i + 1}") for i in range(3)],
+    )
+
+
 @query
 def gate(spark, d):
     """Yearly AUC as a history of models; which of them would have been published."""
     runs = metrics.rank_metrics(_by_year(spark, d)).select(
         F.col("name").alias("run"), F.round("roc_auc", 9).alias("roc_auc")
     )
-    return quality_gate(runs, floor=0.5)
+    return learn.quality_gate(runs, floor=0.5)
 
 
 # --- data quality ---------------------------------------------------------------------------

@@ -22,7 +22,6 @@ from punctua.functions.holidays import holiday_flag
 from punctua.functions.scores import elapsed_estimate, round6
 from punctua.functions.text import request_code
 from punctua.functions.timeparts import day_part, hour_key, iso_weekday
-from punctua.operators.history import score_base_rate
 from punctua.operators.joins import join_hourly, named
 from punctua.operators.keyed import first_by_key
 from punctua.operators.ranking import top_rows
@@ -158,35 +157,31 @@ def request_features(
     asked = requests.withColumns(
         {c: request_code(F.col(c)) for c in ("origin", "dest", "carrier")}
     )
-    spots = {
-        side: dim.select(
-            F.col("iata").alias(side),
-            F.col("lat").alias(f"_{side}_lat"),
-            F.col("lon").alias(f"_{side}_lon"),
-        )
-        for side in ("origin", "dest")
-    }
+    # What is known per route and per origin is put together first: these tables have a
+    # row per route or airport, so the requests are joined with each kind only once.
+    per_route = (
+        routes.select("origin", "dest", round6(F.col("delay_rate")).alias("_route"))
+        .join(medians, ["origin", "dest"], "full")
+        .join(base_rates.select("origin", "dest", "base_rate"), ["origin", "dest"], "full")
+    )
+    rate = round6(F.col("overall_delay_rate")).alias("_origin")
+    spot = dim.select(
+        F.col("iata").alias("origin"),
+        F.col("lat").alias("_origin_lat"),
+        F.col("lon").alias("_origin_lon"),
+    )
+    per_origin = airports.select("origin", rate).join(spot, "origin", "full")
+    per_dest = dim.select(
+        F.col("iata").alias("dest"), F.col("lat").alias("_dest_lat"), F.col("lon").alias("_dest_lon")
+    )
+    per_carrier = carriers.select("carrier", round6(F.col("delay_rate")).alias("_carrier"))
     rows = (
-        asked.join(
-            routes.select("origin", "dest", round6(F.col("delay_rate")).alias("_route")),
-            ["origin", "dest"],
-            "left",
-        )
-        .join(medians, ["origin", "dest"], "left")
-        .join(
-            airports.select("origin", round6(F.col("overall_delay_rate")).alias("_origin")),
-            "origin",
-            "left",
-        )
-        .join(
-            carriers.select("carrier", round6(F.col("delay_rate")).alias("_carrier")),
-            "carrier",
-            "left",
-        )
-        .join(spots["origin"], "origin", "left")
-        .join(spots["dest"], "dest", "left")
+        asked.join(per_route, ["origin", "dest"], "left")
+        .join(per_origin, "origin", "left")
+        .join(per_dest, "dest", "left")
+        .join(per_carrier, "carrier", "left")
+        .withColumn("baseline_probability", F.coalesce(F.col("base_rate"), prior))
     )
-    rows = score_base_rate(rows, base_rates, prior)
     great_circle = F.round(
         haversine_miles(
             F.col("_origin_lat"), F.col("_origin_lon"), F.col("_dest_lat"), F.col("_dest_lon")
