@@ -7,7 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from punctua.plans.gold import gold_features
-from punctua.plans.silver import silver_airports, silver_flights, silver_weather
+from punctua.plans.marts import build_marts
+from punctua.plans.silver import silver_airports, silver_flights, silver_weather, staged_flights
 from punctua.sources.tables import read_table, write_table
 
 
@@ -47,3 +48,10 @@ def build_gold(spark: SparkSession, lake: Lake) -> None:
         lake.fmt,
         partition_by=["year"],
     )
+
+
+def build_reports(spark: SparkSession, lake: Lake, schema: str) -> list[str]:
+    """The reliability marts as tables of ``schema``."""
+    flights = read_table(spark, lake.path("silver", "flights"), lake.fmt)
+    airports = read_table(spark, lake.path("silver", "airports"), lake.fmt)
+    return build_marts(spark, staged_flights(flights), airports, schema, lake.fmt)

@@ -465,9 +465,9 @@ def carrier_options(spark, d):
 
 @query
 def example_presets(spark, d):
-    staged = t.staged(spark, d)
+    totals = stored(marts.mart_totals(t.staged(spark, d), ["origin", "dest", "carrier"]))
     return serving.example_presets(
-        marts.route_reliability(staged), marts.route_carrier_reliability(staged)
+        marts.route_reliability(totals), marts.route_carrier_reliability(totals)
     )
 
 
@@ -485,9 +485,9 @@ def _pairs(items: str, code: str) -> Column:
 
 @query
 def route_lookup(spark, d):
-    staged = t.staged(spark, d)
+    totals = stored(marts.mart_totals(t.staged(spark, d), ["origin", "dest", "carrier"]))
     docs = serving.route_documents(
-        marts.route_reliability(staged), marts.route_carrier_reliability(staged)
+        marts.route_reliability(totals), marts.route_carrier_reliability(totals)
     )
     return serving.lookup(docs, origin="nation_3").withColumn(
         "by_carrier", _pairs("by_carrier", "carrier")
@@ -496,13 +496,13 @@ def route_lookup(spark, d):
 
 @query
 def airport_bridge(spark, d):
-    staged = staged_flights(t.stored_flights(spark, d))
+    totals = stored(marts.mart_totals(t.staged(spark, d), ["origin", "dest", "dep_hour"]))
     dim = marts.dim_airports(t.airports(spark, d))
     docs = serving.airport_documents(
         dim,
-        marts.airport_reliability(staged),
-        marts.airport_hourly(staged),
-        marts.airport_worst_routes(staged, 5),
+        marts.airport_reliability(totals),
+        marts.airport_hourly(totals),
+        marts.airport_worst_routes(totals, 5),
         joins.nearby_counts(dim, t.positions(spark, d)),
     )
     return docs.select(
@@ -540,16 +540,16 @@ def route_medians(spark, d):
 
 def _served(spark, d) -> DataFrame:
     flights = t.stored_flights(spark, d)
-    staged = staged_flights(flights)
+    totals = stored(marts.mart_totals(staged_flights(flights), ["origin", "dest", "carrier"]))
     train, _ = slices.temporal_split(flights, t.TRAIN, t.TEST)
     early = flights.where(F.col("year") < 1998)
     return serving.request_features(
         t.requests(spark, d),
         t.airports(spark, d),
         medians.exact_medians(early, ["origin", "dest"], ["distance", "crs_elapsed_time"]),
-        marts.route_reliability(staged),
-        marts.airport_reliability(staged),
-        marts.carrier_reliability(staged),
+        marts.route_reliability(totals),
+        marts.airport_reliability(totals),
+        marts.carrier_reliability(totals),
         history.fit_base_rates(train),
         history.mean_label(train),
         t.weather(spark, d),
@@ -638,7 +638,8 @@ def base_rate_fit(spark, d):
 
 @query
 def base_rate_score(spark, d):
-    train, test = slices.temporal_split(t.flights(spark, d), t.TRAIN, t.TEST)
+    rows = t.stored_flights(spark, d, "year", "origin", "dest", FLIGHT, LABEL)
+    train, test = slices.temporal_split(rows, t.TRAIN, t.TEST)
     rates = history.fit_base_rates(train, min_count=60)
     scored = history.score_base_rate(test, rates, history.mean_label(train))
     return scored.select(FLIGHT, "baseline_probability")
@@ -688,7 +689,8 @@ def average_precision(spark, d):
 @query
 def evaluation(spark, d):
     """The price share as a model, its square as the raw model, route rates as baseline."""
-    train, test = slices.temporal_split(t.flights(spark, d), t.TRAIN, t.TEST)
+    rows = t.stored_flights(spark, d, "year", "origin", "dest", "crs_elapsed_time", LABEL)
+    train, test = slices.temporal_split(rows, t.TRAIN, t.TEST)
     p = F.least(F.lit(1.0), F.col("crs_elapsed_time") / 260)
     scored = history.score_base_rate(
         test, history.fit_base_rates(train), history.mean_label(train)
@@ -799,4 +801,4 @@ def dq_report(spark, d):
         accepted_range={"dep_hour": (0, 20), "distance": (2000, 90000)},
         relationships={"origin": (known, "iata"), "dest": (known, "iata")},
     )
-    return quality.run_suite(_checked(spark, d), suite)
+    return quality.run_suite(stored(_checked(spark, d)), suite)
