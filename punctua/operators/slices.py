@@ -59,73 +59,88 @@ def temporal_slices(
 ) -> DataFrame:
     """Label rows ``fit``, ``valid`` or ``calib`` by their position in time.
 
-    ``ties`` orders the rows of one day and should identify a row; rows that agree on
-    all of it stay on one side of a cut.  Within a day the order is (three hex digits
-    of a hash of ``ties``, ``ties``), since the position inside a day has no meaning
-    of its own.
+    ``ties`` orders the rows of one day and should identify a row.  Within a day the
+    order is (three hex digits of a hash of ``ties``, ``ties``), since the position
+    inside a day has no meaning of its own.  Rows that agree on all of ``ties`` have no
+    order among them; where a cut falls between such copies they are dealt out to its
+    two sides in the proportion of the cut.
 
     The rows are never sorted.  Each cut is located as an order key in three counting
     steps: days (bounded by the calendar), hash shares of the day that holds the cut
     (4096), and the keys of one share of that day.  Every row then compares itself
     with the two cut keys.
     """
-    up_to_here = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Names of their own, so that no column of the caller can clash with them.
+    tie_keys = [f"_t{i}" for i in range(len(ties))]
+    own = [F.col(c).alias(t) for c, t in zip(ties, tie_keys)]
+    up_to_here = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     days = (
-        df.groupBy(F.col(day).alias("day"))
-        .agg(F.count("*").alias("n"))
-        .select("day", "n", F.sum("n").over(up_to_here).alias("end"))
-        .withColumn("total", F.max("end").over(Window.partitionBy()))
+        df.groupBy(F.col(day).alias("_day"))
+        .agg(F.count("*").alias("_n"))
+        .select("_day", "_n", F.sum("_n").over(up_to_here).alias("_end"))
+        .withColumn("_total", F.max("_end").over(Window.partitionBy()))
     )
-    first, second = slice_cuts(F.col("total"), valid, calib)
-    cut_days = days.select(
-        "day",
-        (F.col("end") - F.col("n")).alias("start"),
-        "end",
-        F.inline(
-            F.array(
-                F.struct(F.lit(1).alias("cut"), first.alias("position")),
-                F.struct(F.lit(2).alias("cut"), second.alias("position")),
-            )
-        ),
-    ).where((F.col("start") <= F.col("position")) & (F.col("position") < F.col("end")))
-    cut_days = cut_days.select("cut", "day", (F.col("position") - F.col("start")).alias("left"))
-
-    # At most two rows on the small side: the day of each cut.
-    rows = df.select(F.col(day).alias("day"), spread_key(ties).alias("share"), *ties)
-    on_cut_days = rows.join(F.broadcast(cut_days), "day")
-    shares = _locate(on_cut_days, ["cut", "day"], ["share"])
-    on_cut_shares = on_cut_days.drop("left").join(F.broadcast(shares), ["cut", "day", "share"])
-    cuts = _locate(on_cut_shares, ["cut", "day", "share"], list(ties))
+    first, second = slice_cuts(F.col("_total"), valid, calib)
+    start = F.col("_end") - F.col("_n")
+    cut_days = (
+        days.select(
+            "_day",
+            start.alias("_start"),
+            "_end",
+            F.inline(
+                F.array(
+                    F.struct(F.lit(1).alias("_cut"), first.alias("_position")),
+                    F.struct(F.lit(2).alias("_cut"), second.alias("_position")),
+                )
+            ),
+        )
+        .where((F.col("_start") <= F.col("_position")) & (F.col("_position") < F.col("_end")))
+        .select("_cut", "_day", (F.col("_position") - F.col("_start")).alias("_left"))
+    )
+
+    # At most two rows on the small side: the day, then the share, of each cut.
+    rows = df.select(F.col(day).alias("_day"), spread_key(ties).alias("_share"), *own)
+    on_cut_days = rows.join(F.broadcast(cut_days), "_day")
+    shares = _locate(on_cut_days, ["_cut", "_day"], ["_share"])
+    on_cut_shares = on_cut_days.drop("_left").join(
+        F.broadcast(shares.drop("_n")), ["_cut", "_day", "_share"]
+    )
+    cuts = _locate(on_cut_shares, ["_cut", "_day", "_share"], tie_keys)
 
     # One row, two keys: a single subquery that both comparisons share.
-    key = F.struct("day", "share", *ties)
+    part = (F.col("_left") / F.col("_n")).alias("_part")
+    key = F.struct("_day", "_share", *tie_keys, part)
     keys = cuts.agg(
         F.struct(
-            *[F.max(F.when(F.col("cut") == n, key)).alias(f"c{n}") for n in (1, 2)]
+            *[F.max(F.when(F.col("_cut") == n, key)).alias(f"c{n}") for n in (1, 2)]
         ).alias("keys")
     ).scalar()
-    mine = F.struct(spread_key(ties).alias("share"), *ties)
+    mine = F.struct(spread_key(ties).alias("_share"), *own)
 
     def before(which: int) -> Column:
         cut = keys[f"c{which}"]
-        rest = F.struct(cut["share"].alias("share"), *[cut[t].alias(t) for t in ties])
-        return (F.col(day) < cut["day"]) | ((F.col(day) == cut["day"]) & (mine < rest))
-
-    return df.withColumn(
-        out, F.when(before(1), "fit").when(before(2), "valid").otherwise("calib")
+        rest = F.struct(*[cut[c].alias(c) for c in ("_share", *tie_keys)])
+        copy = (mine == rest) & (F.col("_deal") < cut["_part"])
+        return (F.col(day) < cut["_day"]) | ((F.col(day) == cut["_day"]) & ((mine < rest) | copy))
+
+    deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2**30)) / F.lit(2.0**30)
+    return (
+        df.withColumn("_deal", deal)
+        .withColumn(out, F.when(before(1), "fit").when(before(2), "valid").otherwise("calib"))
+        .drop("_deal")
     )
 
 
 def _locate(rows: DataFrame, within: list[str], order: list[str]) -> DataFrame:
-    """The ``order`` value that covers position ``left`` within each group."""
+    """The ``order`` value that covers position ``_left`` within each group."""
     w = Window.partitionBy(*within).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    counted = rows.groupBy(*within, *order, "left").agg(F.count("*").alias("n"))
-    placed = counted.withColumn("end", F.sum("n").over(w)).withColumn(
-        "start", F.col("end") - F.col("n")
+    counted = rows.groupBy(*within, *order, "_left").agg(F.count("*").alias("_n"))
+    placed = counted.withColumn("_end", F.sum("_n").over(w)).withColumn(
+        "_start", F.col("_end") - F.col("_n")
     )
-    inside = (F.col("start") <= F.col("left")) & (F.col("left") < F.col("end"))
+    inside = (F.col("_start") <= F.col("_left")) & (F.col("_left") < F.col("_end"))
     return placed.where(inside).select(
-        *within, *order, (F.col("left") - F.col("start")).alias("left")
+        *within, *order, (F.col("_left") - F.col("_start")).alias("_left"), "_n"
     )

@@ -22,6 +22,13 @@ RUNTIME = {
 # Only at session start: no call-site record for every column built from Python.
 STATIC = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
+# For streaming jobs: keyed state on disk, so that it may outgrow executor memory.
+STREAMING = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def build_session(app: str = "punctua", master: str | None = None, **extra) -> SparkSession:
     """Create (or get) a session.  Memory and cores are the submitter's business."""

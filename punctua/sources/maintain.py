@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -33,6 +34,19 @@ def pending_partitions(
     return wanted.join(existing.select(*keys).distinct(), keys, "left_anti")
 
 
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _folders(spark: SparkSession, path: str) -> list[str]:
     """Folders below ``path`` that hold parquet files: the listing only, no data."""
     listing = (
@@ -81,9 +95,11 @@ def _rewrite(
     and the unreadable ones.
     """
     layouts, unreadable = _by_layout(spark, source)
-    for folders in layouts.values():
-        df = spark.read.option("basePath", source).parquet(*folders)
-        write_table(fix(df), target, partition_by=partition_by)
+    # Partition values stay the text they are, or a code such as 007 would come back as 7.
+    with _setting(spark, "spark.sql.sources.partitionColumnTypeInference.enabled", "false"):
+        for folders in layouts.values():
+            df = spark.read.option("basePath", source).parquet(*folders)
+            write_table(fix(df), target, partition_by=partition_by)
     return sum(map(len, layouts.values())), unreadable
 
 
@@ -108,16 +124,12 @@ def repair_timestamps(
     spark: SparkSession, source: str, target: str, partition_by: list[str], column: str = "time"
 ) -> tuple[int, list[str]]:
     """Rewrite nanosecond timestamps as microseconds; other partitions are copied as is."""
-    flag = "spark.sql.legacy.parquet.nanosAsLong"
-    before = spark.conf.get(flag, "false")
-    spark.conf.set(flag, "true")
-    try:
-        def fix(df: DataFrame) -> DataFrame:
-            kinds = dict(df.dtypes)
-            if column not in kinds:
-                return df
-            return df.withColumn(column, _as_micros(column, kinds[column]))
 
+    def fix(df: DataFrame) -> DataFrame:
+        kinds = dict(df.dtypes)
+        if column not in kinds:
+            return df
+        return df.withColumn(column, _as_micros(column, kinds[column]))
+
+    with _setting(spark, "spark.sql.legacy.parquet.nanosAsLong", "true"):
         return _rewrite(spark, source, target, partition_by, fix)
-    finally:
-        spark.conf.set(flag, before)

@@ -201,18 +201,19 @@ def test_type_repair(spark, tmp_path):
 
 def test_timestamp_repair(spark, tmp_path):
     src = tmp_path / "weather"
-    for iata, unit in (("AAA", "ns"), ("BBB", "us")):
+    for iata, unit in (("AAA", "ns"), ("BBB", "us"), ("007", "us")):
         folder = src / f"iata={iata}"
         folder.mkdir(parents=True)
         stamps = np.array(["2024-01-12T14:00:00.123456"], dtype=f"datetime64[{unit}]")
         pq.write_table(pa.table({"time": pa.array(stamps, pa.timestamp(unit, "UTC")), "x": [1.0]}),
                        folder / "data.parquet")
     out = str(tmp_path / "fixed")
-    assert maintain.repair_timestamps(spark, str(src), out, ["iata"])[0] == 2
+    assert maintain.repair_timestamps(spark, str(src), out, ["iata"])[0] == 3
+    assert (tmp_path / "fixed" / "iata=007").is_dir()
     rows = spark.read.parquet(out).select("iata", F.unix_micros("time").alias("t")).collect()
-    assert {r.iata for r in rows} == {"AAA", "BBB"}
+    assert {r.iata for r in rows} == {"AAA", "BBB", "007"}
     assert {r.t for r in rows} == {1705068000123456}
-    assert maintain.repair_timestamps(spark, out, str(tmp_path / "again"), ["iata"])[0] == 2
+    assert maintain.repair_timestamps(spark, out, str(tmp_path / "again"), ["iata"])[0] == 3
 
 
 def test_seed_files(spark, tmp_path):

@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from punctua.session import STREAMING
 from punctua.streaming.congestion import (
     Windows, as_messages, congestion, parse_messages, positions_of, rejected,
 )
@@ -132,3 +133,18 @@ def test_latest_in_state(spark, tmp_path):
     rows = positions_of(parse_messages(stream_of(spark, src))).drop("message_key", "event_time")
     sinks.to_memory(latest.latest_state(rows, "icao24", ["event_ts"]), "st", mode="complete").awaitTermination(120)
     assert {(r.icao24, r.event_ts) for r in spark.table("st").collect()} == {("a", T0 + 50), ("b", T0)}
+
+
+def test_state_on_disk_gives_the_same_windows(spark, tmp_path):
+    src = tmp_path / "in"
+    put(spark, src, FIRST)
+    put(spark, src, [message("z", T0 + 2000)])
+    for key, value in STREAMING.items():
+        spark.conf.set(key, value)
+    try:
+        rows = congestion(positions_of(parse_messages(stream_of(spark, src))))
+        sinks.to_memory(rows, "rocks").awaitTermination(120)
+    finally:
+        for key in STREAMING:
+            spark.conf.unset(key)
+    assert sorted(r.aircraft_count for r in spark.table("rocks").collect()) == [1, 2]
