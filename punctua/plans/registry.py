@@ -10,7 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from punctua.contract import CATEGORICAL, LABEL, WEATHER_FILL
+from punctua.contract import (
+    CATEGORICAL,
+    GOLD_COLUMNS,
+    LABEL,
+    SILVER_FLIGHT_COLUMNS,
+    WEATHER_FILL,
+)
 from punctua.functions import geo, holidays, scores, text, timeparts
 from punctua.operators import history, joins, keyed, medians, metrics, quality, slices
 from punctua.plans import driver_tables as t, gold, learn, marts, serving
@@ -607,7 +613,8 @@ def weather_join(spark, d):
 
 @query
 def gold_features(spark, d):
-    rows = t.stored_flights(spark, d)
+    known = [c for c in SILVER_FLIGHT_COLUMNS if c in GOLD_COLUMNS]
+    rows = t.stored_flights(spark, d, *known)
     return gold.gold_features(rows, t.weather(spark, d), hour=t.weather_hour())
 
 
