@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from punctua.contract import AFTER_THE_FACT, CARRIER_NAMES, LABEL, WEATHER, WEATHER_FILL  # noqa: F401
+from punctua.contract import AFTER_THE_FACT, LABEL, WEATHER_FILL
 from punctua.plans.registry import FLIGHT, NOW
 
 ORACLE: dict[str, str] = {}

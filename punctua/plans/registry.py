@@ -17,7 +17,7 @@ from punctua.contract import (
     SILVER_FLIGHT_COLUMNS,
     WEATHER_FILL,
 )
-from punctua.functions import geo, holidays, scores, text, timeparts
+from punctua.functions import geo, holidays, scores, timeparts
 from punctua.operators import history, joins, keyed, medians, metrics, quality, slices
 from punctua.plans import driver_tables as t, gold, learn, marts, serving
 from punctua.plans.silver import staged_flights

@@ -5,9 +5,10 @@ All inputs but the requests are aggregates: one row per route, airport or carrie
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from punctua.contract import (
+    CARRIER_NAMES,
     DEFAULT_DISTANCE_MILES,
     FEATURES,
     FRESH_SECONDS,
@@ -27,6 +28,11 @@ from punctua.operators.keyed import first_by_key
 from punctua.operators.ranking import top_rows
 
 
+def carrier_names(spark: SparkSession) -> DataFrame:
+    """Display names the contract knows."""
+    return spark.createDataFrame(list(CARRIER_NAMES.items()), "code string, name string")
+
+
 def carrier_options(carriers: DataFrame, names: DataFrame) -> DataFrame:
     """Carriers in use with a display name."""
     codes = carriers.select(F.col("carrier").alias("code")).distinct()
