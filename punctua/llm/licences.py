@@ -6,11 +6,10 @@ import math
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from punctua.llm.common import frames_of, mix, ragged
+from punctua.llm.common import frames_of, mix, ragged, words_of
 
 # Wording of common licence notices.
 TEMPLATES = {
@@ -33,21 +32,23 @@ TEMPLATES = {
 FOUND = "doc_id bigint, licence string, containment double, start bigint, words bigint"
 
 
+def _plain() -> np.ndarray:
+    table = np.full(256, ord(" "), np.uint8)
+    for c in "abcdefghijklmnopqrstuvwxyz0123456789":
+        table[ord(c)] = table[ord(c.upper())] = ord(c)
+    return table
+
+
 def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(word hashes, offsets by text): runs of a-z and 0-9, A-Z lower-cased."""
-    low = pc.replace_substring_regex(pc.ascii_lower(texts.fill_null("").cast(pa.large_string())), "[^a-z0-9]+", " ")
-    parts = pc.split_pattern(pc.ascii_trim(low, " "), " ")
-    count = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
-    coded = pc.list_flatten(parts).dictionary_encode()
-    code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    names = coded.dictionary.to_pylist()
-    known = np.fromiter((xxhash.xxh64_intdigest(w) for w in names), np.uint64, len(names))
-    owner = np.repeat(np.arange(len(count)), count)
-    if "" in names:
-        keep = code != names.index("")
-        code, owner = code[keep], owner[keep]
-    at = np.r_[0, np.cumsum(np.bincount(owner, minlength=len(count)))]
-    return known[code], at
+    """(word hashes, offsets by text): runs of a-z and 0-9, A-Z lower-cased, all else a gap."""
+    texts = texts.fill_null("").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]:at[-1]] if data else np.zeros(0, np.uint8)
+    plain = pa.LargeStringArray.from_buffers(len(texts), pa.py_buffer((at - at[0]).tobytes()), pa.py_buffer(_plain()[raw].tobytes()))
+    codes, out, distinct = words_of(plain)
+    known = np.fromiter((xxhash.xxh64_intdigest(w) for w in distinct.to_pylist()), np.uint64, len(distinct))
+    return known[codes], out
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
