@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
@@ -61,14 +62,12 @@ class Workspace:
             where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def spread(df: DataFrame, rows_per_task: int) -> DataFrame:
-    """Deal the rows evenly over enough tasks.
-
-    At least one partition for each core and one for each ``rows_per_task`` rows; costs
-    a shuffle of the rows, so only for small rows with heavy work each.
-    """
-    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_per_task))
-    return df.repartition(n)
+def per_process(key: str, make):
+    """``make()``, kept for the life of this Python process: tasks of one worker share it."""
+    held = sys.modules.setdefault("punctua_llm_held", types.ModuleType("punctua_llm_held")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
 
 
 def frames_of(batches: Iterator[pa.RecordBatch], most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
@@ -119,10 +118,6 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def empty_like(columns: dict[str, str]) -> pd.DataFrame:
-    return pd.DataFrame({k: pd.Series(dtype=v) for k, v in columns.items()})
-
-
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions start .. start + length - 1 of every range, one after another."""
     total = int(lengths.sum())

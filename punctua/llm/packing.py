@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -9,7 +10,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from punctua.llm.common import Workspace, frames_of, ragged, words_of
+from punctua.llm.common import Workspace, frames_of, per_process, ragged, words_of
 
 CUT = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, crc bigint, ids binary, tokens array<int>, df array<bigint>"
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -28,16 +29,36 @@ class WordIds:
 
         self.tok = Tokenizer.from_file(path)
         self.size = self.tok.get_vocab_size()
+        self.known, self.flat, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(words), 4096):
+            made = [e.ids for e in self.tok.encode_batch_fast(words[at:at + 4096], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, made), np.int64, len(made)))
+            flat.append(np.fromiter(itertools.chain.from_iterable(made), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(flat), np.concatenate(sizes)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(flat ids, offsets by text), ``end_id`` after each text; null counts as empty."""
+        """(flat ids, offsets by text), ``end_id`` after each text; null counts as empty.
+
+        The first ``MEMORY`` distinct words are remembered from call to call.
+        """
         codes, at, distinct = words_of(texts)
-        made = [e.ids for e in self.tok.encode_batch_fast(distinct.to_pylist(), add_special_tokens=False)]
-        sizes = np.array([len(x) for x in made], np.int64)
-        flat = np.array([i for x in made for i in x], np.int64)
+        names = distinct.to_pylist()
+        new = [w for w in names if w not in self.known]
+        more, counts = self._ids(new)
+        flat, sizes = np.concatenate([self.flat, more]), np.concatenate([self.sizes, counts])
+        place = dict(zip(new, range(len(self.sizes), len(sizes))))
+        if len(sizes) <= MEMORY:
+            self.known.update(place)
+            self.flat, self.sizes = flat, sizes
         begin = np.cumsum(sizes) - sizes
-        body = flat[ragged(begin[codes], sizes[codes])]
-        ends = np.r_[0, np.cumsum(sizes[codes])][at]
+        known = self.known
+        slot = np.fromiter((known[w] if w in known else place[w] for w in names), np.int64, len(names))
+        n = sizes[slot][codes]
+        body = flat[ragged(begin[slot][codes], n)]
+        ends = np.r_[0, np.cumsum(n)][at]
         n = np.diff(ends) + 1
         offsets = np.r_[0, np.cumsum(n)]
         out = np.empty(offsets[-1], np.int64)
@@ -47,24 +68,20 @@ class WordIds:
         return out, offsets
 
 
-def _ids_of(path: str, cache: dict = {}) -> WordIds:
-    if path not in cache:
-        cache[path] = WordIds(path)
-    return cache[path]
-
-
 def _cut(path: str, window: int, end_id: int):
     """Full windows of each document (their checksum only), its tail with ids, and token counts."""
     def run(batches):
-        words = _ids_of(path)
+        words = per_process("words " + path, lambda: WordIds(path))
         df = np.zeros(max(words.size, end_id + 1), np.int64)
-        for b in frames_of(batches, 16 << 20):
+        for b in frames_of(batches):
             ids, at = words.encode(b.column(1), end_id)
             packed = ids.astype("<u4")
+            small = ids.astype(np.uint16) if len(df) <= 1 << 16 else ids  # two bytes sort in linear time
             names = b.column(0).to_pylist()
             rows = []
             for i, (s, e) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
-                df[np.unique(ids[s:e])] += 1
+                sorted_ = np.sort(small[s:e], kind="stable")
+                df[sorted_[np.r_[True, sorted_[1:] != sorted_[:-1]]]] += 1
                 for start in range(0, e - s, window):
                     part = packed[s + start:min(e, s + start + window)]
                     whole = len(part) == window
@@ -80,6 +97,7 @@ def _cut(path: str, window: int, end_id: int):
     return run
 
 
+MEMORY = 400_000
 NAMES = [c.split()[0] for c in CUT.split(", ")]
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from punctua.llm.common import frames_of, ragged
+from punctua.llm.common import frames_of, per_process, ragged
 
 GAP = "▁"
 NONE = np.int64(2**62)
@@ -280,10 +280,8 @@ class PieceModel:
         return b"".join(out)
 
 
-def _model(path: str, cache: dict = {}) -> PieceModel:
-    if path not in cache:
-        cache[path] = PieceModel(path)
-    return cache[path]
+def _model(path: str) -> PieceModel:
+    return per_process("pieces " + path, lambda: PieceModel(path))
 
 
 def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,0 +1,246 @@
+"""Each operator against plain Python, and on awkward rows."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from punctua.llm import charlm, hnsw, licences, linechunks, minhash, packing, pieces, topk, toxicity, urls, warc
+from punctua.llm.common import Workspace
+from punctua.llm.queries import tokenizer
+
+DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, score int, set int, id int"
+AWKWARD = [None, "", " \n\t", "word", "the same words once more here", "the same words once more here", "ÀÉ漢字 😀\0x",
+           "a " * 5000, "x" * 20000, "one two three four five\nsix seven"]
+
+
+def docs_of(spark, texts):
+    return spark.createDataFrame([(i, t, None, None, None, 1, 2, 3) for i, t in enumerate(texts)], DOCS)
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    rows = [(i, t, None, None, None, 1, 2, 3) for i, t in enumerate(AWKWARD)] + [(None, "no id", None, None, None, 1, 2, 3)] * 2
+    return spark.createDataFrame(rows + rows[3:4], DOCS)
+
+
+@pytest.fixture
+def work(spark):
+    return Workspace(spark, "test")
+
+
+def test_near_duplicates_match_brute_force(spark, work):
+    rng = np.random.default_rng(3)
+    texts = []
+    for g in range(12):
+        base = [f"w{rng.integers(300)}" for _ in range(60)]
+        for _ in range(8):
+            own = list(base)
+            for k in rng.integers(0, 60, rng.integers(0, 9)):
+                own[k] = f"x{rng.integers(9999)}"
+            texts.append(" ".join(own))
+    got = {r["doc_id"]: r for r in minhash.near_duplicates(docs_of(spark, texts), work, width=2, block=4).collect()}
+    sets = [set(zip(t.split(), t.split()[1:])) for t in texts]
+    root = list(range(len(texts)))
+    for _ in range(len(texts)):
+        for a in range(len(texts)):
+            for b in range(a):
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    root[a] = root[b] = min(root[a], root[b])
+        if all(root[r] == r for r in root):
+            break
+    assert [got[i]["component_id"] for i in range(len(texts))] == root
+    assert [got[i]["n_shingles"] for i in range(len(texts))] == [len(s) for s in sets]
+
+
+def test_near_duplicates_awkward(spark, awkward, work):
+    got = minhash.near_duplicates(awkward, work, width=2).collect()
+    assert len(got) == awkward.count()
+    by = {r["doc_id"]: r for r in got if r["doc_id"] is not None}
+    assert by[0]["n_shingles"] == by[2]["n_shingles"] == 0 and by[0]["kept"]
+    assert by[5]["component_id"] == 4 and by[3]["n_shingles"] == 1
+    assert all(r["component_id"] is None and not r["kept"] for r in got if r["doc_id"] is None)
+    assert minhash.near_duplicates(awkward.limit(0), work).count() == 0
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(1)
+    rows, base = [], rng.normal(size=(20, 8))
+    for i in range(300):
+        rows.append((i, [float(np.float32(x)) for x in base[i % 20] + rng.normal(size=8) * 0.15], 0))
+    rows += [(300, None, 0), (301, [0.0] * 8, 0), (302, [1.0, None] + [0.0] * 6, 0), (303, [float("nan")] * 8, 0),
+             (304, [1.0, 2.0], 0), (350, rows[0][1], 0), (None, rows[0][1], 0)]
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+
+
+def test_embedding_groups_match_brute_force(vectors, work):
+    got = {r["vec_id"]: r for r in hnsw.embedding_groups(vectors, work, shards=3).collect()}
+    rows = [r for r in vectors.collect() if r["vec_id"] is not None and (r["vec_id"] < 300 or r["vec_id"] == 350)]
+    v = np.array([r["embedding"] for r in rows])
+    v /= np.sqrt((v**2).sum(1))[:, None]
+    links = v @ v.T >= 0.95
+    np.fill_diagonal(links, False)
+    assert [got[r["vec_id"]]["n_links"] for r in rows] == links.sum(1).tolist()
+    root = np.arange(len(rows))
+    for _ in rows:
+        root = np.minimum(root, np.where(links, root[None, :], len(rows)).min(1))
+    assert [got[r["vec_id"]]["component_id"] for r in rows] == [rows[k]["vec_id"] for k in root]
+    assert got[301]["n_links"] == 0 and got[301]["kept"] and not got[None]["kept"]
+
+
+def test_top_k_matches_brute_force(vectors, work):
+    got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5, block=64, bits=3).collect()
+    rows = {r["vec_id"]: np.floor(np.array(r["embedding"], float) * 256) for r in vectors.collect()
+            if r["vec_id"] is not None and r["embedding"] and len(r["embedding"]) == 8 and None not in r["embedding"] and r["vec_id"] != 303}
+    for q in (0, 50, 350):
+        want = sorted(((-int(v @ rows[q]), i) for i, v in rows.items() if i != q))[:5]
+        assert [(-r["score"], r["vec_id"]) for r in sorted(got, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+    assert topk.top_k(vectors.limit(0), vectors.limit(0), 5).count() == 0
+
+
+def test_pieces_equal_the_library(spark, awkward):
+    import sentencepiece
+
+    path = tokenizer("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = np.random.default_rng(5)
+    texts = AWKWARD + ["  lead", "▁y a▁▁b", " " * 90 + "b"] + ["".join(rng.choice(list("ab éß 1\n"), 40)) for _ in range(200)]
+    rows = pieces.encoded(docs_of(spark, texts), path)
+    for r in rows.collect():
+        assert list(r["ids"]) == sp.encode(texts[r["doc_id"]] or "", add_bos=True, add_eos=True)
+    for r in pieces.decoded(rows, path).collect():
+        assert r["text"] == (texts[r["doc_id"]] or "").replace("▁", " ")
+    model = pieces.PieceModel(path)
+    for ids in ([1, 202, 2, 139, 28705, 0, 5422], [3 + 0xE9], [3 + 0xE9, 300, 3 + 0x80], [1, 259, 300], [0]):
+        assert model.decode(np.array(ids), np.array([0, len(ids)]))[0].decode() == sp.decode(ids)
+
+
+def test_packing_keeps_every_id_once(spark, awkward, work):
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    rows = packing.pack(awkward.where("doc_id is not null").dropDuplicates(["doc_id"]), work, path, window=64, shard_docs=3).collect()
+    for i, t in enumerate(AWKWARD):
+        ids = np.array(tok.encode(t or "", add_special_tokens=False).ids + [1], "<u4")
+        at = 0
+        for r in sorted((r for r in rows if r["doc_id"] == i), key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids)
+            assert r["ids_crc32"] == zlib.crc32(ids[at:at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)
+    for s in {r["sequence_id"] for r in rows}:
+        own, at = sorted((r["offset"], r["length"]) for r in rows if r["sequence_id"] == s), 0
+        for offset, n in own:
+            assert offset == at
+            at += n
+        assert at <= 64 and at & (at - 1) == 0
+    assert packing.pack(awkward, Workspace(spark, "t"), path).where("doc_id is null").count() == 2
+    assert packing.pack(awkward.limit(0), Workspace(spark, "t"), path).count() == 0
+
+
+def test_warc_round_trip_and_seek(spark, work):
+    html = ["<p>é</p>", "", None, "<p>é</p>", "z" * 5000, "<p>é</p>"]
+    pages = spark.createDataFrame([(i, "http://a/\r\n" if i else None, h, 9) for i, h in enumerate(html)] + [(None, "u", "<p>é</p>", 9)],
+                                  "page_id bigint, url string, html string, digest int")
+    index = warc.write_bundles(pages, work, frame_bytes=512)
+    rows = {r["page_id"]: r for r in warc.read_bundles(index).collect()}
+    assert len(rows) == 7 and rows[5]["record_type"] == "response" and rows[0]["refers_to"] == rows[3]["refers_to"] == 5
+    assert rows[1]["refers_to"] == 2 and rows[None]["record_type"] == "response"
+    assert bytes(rows[4]["payload"]).decode() == html[4] and rows[0]["payload_bytes"] == len(html[0].encode())
+    at = index.where("page_id = 4").first()
+    head, block = warc.read_record(at["bundle"], at["frame"], at["at"])
+    assert head["WARC-Record-ID"] == at["record_id"] and block.endswith(b"z" * 5000)
+    assert warc.read_bundles(warc.write_bundles(pages.limit(0), work)).count() == 0
+
+
+def test_line_chunks(spark, awkward, work):
+    passage = "\n".join(" ".join(f"p{k}x{j}" for j in range(12)) for k in range(12))
+    texts = [f"own {i}\n{passage}\ntail {i}" for i in range(3)] + ["common line\nother", "common line\nother"]
+    got = {r["doc_id"]: r for r in linechunks.dedup_lines(docs_of(spark, texts), work).collect()}
+    assert got[0]["text"] == texts[0] and got[3]["text"] == got[4]["text"] == texts[3]
+    assert all(got[i]["removed"] > 0 and got[i]["text"].startswith(f"own {i}") and len(got[i]["text"]) < len(texts[i]) for i in (1, 2))
+    long_line = " ".join(f"l{k}" for k in range(60))
+    got = {r["doc_id"]: r["text"] for r in linechunks.dedup_lines(docs_of(spark, ["a\n" + long_line, "b\n" + long_line + "\nc"]), work).collect()}
+    assert got == {0: "a\n" + long_line, 1: "b\nc"}
+    out = linechunks.dedup_lines(awkward, work)
+    assert out.count() == awkward.count() and out.where("doc_id = 0").first()["text"] is None
+    assert linechunks.dedup_lines(awkward.limit(0), work).count() == 0
+
+
+def test_licences_match_brute_force(spark, awkward):
+    fill = " ".join(f"f{k}" for k in range(70))
+    texts = [f"{fill} {t} {fill}" for t in licences.TEMPLATES.values()] + [fill, "MIT License"]
+    got = {}
+    for r in licences.licences(docs_of(spark, texts)).collect():
+        got.setdefault(r["doc_id"], set()).add(r["licence"])
+
+    def marks(t):
+        w = re.findall("[a-z0-9]+", t.lower())
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    for i, t in enumerate(texts):
+        want = {n for n, x in licences.TEMPLATES.items() if len(marks(x) & marks(t)) >= 0.8 * len(marks(x))}
+        assert got.get(i, set()) == want
+    assert licences.licences(awkward).count() == 0
+
+
+def test_deobfuscation_and_toxicity(spark, awkward, work):
+    rng = np.random.default_rng(2)
+    names = ["river", "stone", "window", "garden", "table", "morning", "letter", "yellow", "bridge", "winter"]
+    texts, labels = [], []
+    for i in range(400):
+        w = [names[k] for k in rng.integers(0, 10, 30)]
+        bad = i % 4 == 0
+        if bad:
+            w[5] = w[9] = "moron"
+        texts.append(" ".join(w))
+        labels.append((i, 1, int(bad)))
+    docs = docs_of(spark, texts)
+    model = toxicity.fit_toxicity(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"), work)
+    tests = ["river stone window", "river moron stone moron", "river m0r0n stone m0r0n", "you m o r o n and moooron table", None, ""]
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.toxicity(docs_of(spark, tests), model).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0, 5: 0}
+    restorer = charlm.Restorer(model.language)
+    assert restorer.word("m0r0n") == "moron" and restorer.word("river") == "river"
+    assert toxicity.toxicity(awkward, model).count() == awkward.count()
+    none = toxicity.fit_toxicity(docs.limit(0), spark.createDataFrame([], "doc_id bigint, quality int, toxic int"), work)
+    assert toxicity.toxicity(awkward, none).where("predicted = 1").count() == 0
+
+
+def test_url_rules_and_model(spark, work):
+    rows = [f"https://{'www.casino-win' if i % 3 == 0 else 'blog.stone'}.example.net/en/{i}{'?a=1&b=2' if i % 3 == 0 else ''}" for i in range(300)]
+    labelled = spark.createDataFrame([(u, int(i % 3 == 0)) for i, u in enumerate(rows)], "url string, bad int")
+    model = urls.fit_urls(labelled, work)
+    tests = [None, "no scheme", "http://A.ORG/x", "https://m.example.org/es/1?x", "http://example.org/en/15#t", "http://xexample.org/es/1",
+             "http://b.com/de/1", "http://org?x", "ftp://x/a://b/c", "https://www.casino-win.example.net/en/9?a=1&b=2", "https://blog.stone.example.net/en/7"]
+    pages = spark.createDataFrame([(i, u, 0.0) for i, u in enumerate(tests)], "page_id bigint, url string, length double")
+    got = {r["page_id"]: r for r in urls.judge_urls(pages, model).collect()}
+    assert [(got[i]["host"], got[i]["path"]) for i in (0, 1, 2, 7, 8)] == [("", ""), ("", ""), ("a.org", "/x"), ("org", ""), ("x", "/a://b/c")]
+    assert [got[i]["rule"] for i in range(2, 8)] == ["org/", "example.org/es/", "example.org/en/1", "org/", "com/de/", None]
+    assert [got[i]["verdict"] for i in (2, 3, 4, 5, 6, 9, 10)] == ["allow", "block", "block", "allow", "block", "block", "allow"]
+    one = urls.fit_urls(labelled.limit(0), work)
+    assert {r["verdict"] for r in urls.judge_urls(pages, one).where("rule is null").collect()} == {"allow"}
+
+
+def test_pipeline_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    good = [" ".join(f"w{(7 * i + 13 * k * (i + 1)) % 997}" for k in range(40)) for i in range(60)]
+    texts = good + [good[0].replace("w0 ", "new "), good[1]] + [None, ""]
+    docs_of(spark, texts).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(0, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        docs = out
+    left = {r["doc_id"] for r in docs.collect()}
+    assert set(range(60)) <= left and 61 not in left and 60 not in left and {62, 63} <= left
+    packed = corpus_pipeline.run(spark, str(tmp_path))
+    assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == left
