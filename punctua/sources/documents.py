@@ -83,10 +83,10 @@ def snapshot_payload(
     """Snapshot rows with an aircraft array to the published payload.
 
     Entries are cut down to the contract fields inside the array; the count and the
-    age are derived.  A snapshot without a time counts as taken now.
+    age are derived.  A snapshot without a time, or with time 0, counts as taken now.
     """
     entries = F.coalesce(F.col(aircraft), F.array())
-    taken = F.coalesce(F.col(as_of), now).cast("bigint")
+    taken = F.coalesce(F.nullif(F.col(as_of), F.lit(0)), now).cast("bigint")
     trimmed = F.transform(
         entries, lambda a: F.struct(*[a[f].alias(f) for f in AIRCRAFT_FIELDS])
     )
