@@ -97,7 +97,7 @@ def _cut(path: str, window: int, end_id: int):
     return run
 
 
-MEMORY = 400_000
+MEMORY = 800_000
 NAMES = [c.split()[0] for c in CUT.split(", ")]
 
 
