@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from punctua.llm.common import frames_of
+from punctua.llm.common import frames_of, tidy
 
 # The letters the model knows (others share one class) and what a symbol may stand for.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
@@ -47,7 +47,7 @@ def count_grams(docs: DataFrame, text: str = "text") -> np.ndarray:
     alphabet, not by the texts.  Null texts count nothing.
     """
     rows = (
-        docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_count, "gram bigint, n bigint")
+        docs.select(F.col(text).cast("string").alias("text")).mapInArrow(tidy(_count), "gram bigint, n bigint")
         .groupBy("gram").agg(F.sum("n").alias("n")).collect()
     )
     out = np.zeros(SIZE**3, np.int64)

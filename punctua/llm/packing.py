@@ -2,41 +2,55 @@
 
 from __future__ import annotations
 
-import itertools
+import os
 import zlib
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from punctua.llm.common import Workspace, frames_of, per_process, ragged, words_of
+from punctua.llm.common import Workspace, ascii_lower, frames_of, per_process, ragged, tidy, words_of
 
 CUT = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, crc bigint, ids binary, tokens array<int>, df array<bigint>"
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
 
+MEMORY = 800_000
+# After letters that stay single letters when normalised; İ, for one, does not.
+TRAILING = r"([0-9A-Za-zÀ-ÖØ-öø-ÿ])([.,]+)([ \t-\r]|$)"
+
+
 class WordIds:
-    """Token ids of texts, each distinct blank-separated word being tokenised once.
+    """Token ids of texts, each distinct word being tokenised once.
 
-    Right for tokenizers whose pre-tokenizer parts at white space and drops it, as the
-    word-end BPE here does: a text's ids are those of its words, one after another.
+    Right for tokenizers whose pre-tokenizer drops white space and parts letters and
+    digits from punctuation, as the word-end BPE here does: a text's ids are those of its
+    words, one after another, and full stops or commas at a word's end mostly count as a
+    word of their own.  Where the tokenizer lower-cases, A-Z are lower-cased beforehand.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+
         self.tok = Tokenizer.from_file(path)
         self.size = self.tok.get_vocab_size()
-        self.known, self.flat, self.sizes = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
+        normal = self.tok.normalizer
+        self.lower = normal is not None and normal.normalize_str("A") == "a"
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for at in range(0, len(words), 4096):
-            made = [e.ids for e in self.tok.encode_batch_fast(words[at:at + 4096], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, made), np.int64, len(made)))
-            flat.append(np.fromiter(itertools.chain.from_iterable(made), np.int32, int(sizes[-1].sum())))
+        for at in range(0, len(words), 512):
+            part = words[at:at + 512]
+            made = self.tok.encode(part, is_pretokenized=True, add_special_tokens=False)
+            flat.append(np.array(made.ids, np.int32))
+            sizes.append(np.bincount(np.array(made.word_ids, np.int64), minlength=len(part)))
         return np.concatenate(flat), np.concatenate(sizes)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,18 +58,18 @@ class WordIds:
 
         The first ``MEMORY`` distinct words are remembered from call to call.
         """
-        codes, at, distinct = words_of(texts)
-        names = distinct.to_pylist()
-        new = [w for w in names if w not in self.known]
-        more, counts = self._ids(new)
+        texts = ascii_lower(texts) if self.lower else texts
+        codes, at, distinct = words_of(pc.replace_substring_regex(texts, TRAILING, r"\1 \2\3"))
+        slot = pc.index_in(distinct, value_set=self.known)
+        new = distinct.filter(pc.is_null(slot))
+        more, counts = self._ids(new.to_pylist())
         flat, sizes = np.concatenate([self.flat, more]), np.concatenate([self.sizes, counts])
-        place = dict(zip(new, range(len(self.sizes), len(sizes))))
+        slot = slot.fill_null(-1).to_numpy().astype(np.int64)
+        slot[slot < 0] = len(self.sizes) + np.arange(len(new))
         if len(sizes) <= MEMORY:
-            self.known.update(place)
+            self.known = pa.concat_arrays([self.known, new])
             self.flat, self.sizes = flat, sizes
         begin = np.cumsum(sizes) - sizes
-        known = self.known
-        slot = np.fromiter((known[w] if w in known else place[w] for w in names), np.int64, len(names))
         n = sizes[slot][codes]
         body = flat[ragged(begin[slot][codes], n)]
         ends = np.r_[0, np.cumsum(n)][at]
@@ -94,10 +108,9 @@ def _cut(path: str, window: int, end_id: int):
         one = [pa.nulls(1, t) for t in (*[pa.int64()] * 5, pa.binary())]
         yield pa.RecordBatch.from_arrays(
             [*one, pa.array([has], pa.list_(pa.int32())), pa.array([df[has]], pa.list_(pa.int64()))], names=NAMES)
-    return run
+    return tidy(run)
 
 
-MEMORY = 800_000
 NAMES = [c.split()[0] for c in CUT.split(", ")]
 
 
@@ -115,11 +128,21 @@ class InvertedIndex:
         self.start = np.searchsorted(token[order], np.arange(len(idf) + 1))
         self.terms = np.split(token, np.cumsum(np.bincount(doc, minlength=len(tails)))[:-1])
         self.n = len(tails)
+        # Terms that an eighth of the tails hold have rows of weights instead of postings.
+        held = np.diff(self.start)
+        self.row = np.full(len(idf), -1)
+        common = np.flatnonzero(8 * held > self.n)
+        self.row[common] = np.arange(len(common))
+        self.rows = np.zeros((len(common), self.n), np.float32)
+        at = np.flatnonzero(self.row[token] >= 0)
+        self.rows[self.row[token[at]], doc[at]] = weight[at]
 
     def scores(self, seed: int) -> np.ndarray:
-        terms = self.terms[seed]
+        row = self.row[self.terms[seed]]
+        terms = self.terms[seed][row < 0]
         at = ragged(self.start[terms], self.start[terms + 1] - self.start[terms])
-        return np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
+        rare = np.bincount(self.doc[at], weights=self.weight[at], minlength=self.n)
+        return rare + self.rows[row[row >= 0]].sum(0)
 
 
 def fill(sizes: np.ndarray, index: InvertedIndex, window: int) -> list[list[tuple[int, int, int]]]:

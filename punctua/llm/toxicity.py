@@ -7,16 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from punctua.llm.charlm import Restorer, count_grams, log_model
-from punctua.llm.common import Workspace, frames_of, words_of
+from punctua.llm.common import Workspace, frames_of, mix, tidy, words_of
 
 SLOTS = 1 << 20
 FRONTS = (3, 4, 5, 6, 7)
 TOPS = (0, 1, 2, 4, 7)
 LEVELS = (0.7, 1.5, 2.5, 3.5)
+_TRIPLE = re.compile(r"(.)\1\1")
 _RUN = re.compile(r"([$!@|])\1\1+$")
 _OUTER = ".,;:?\"'()[]#%&*<>"
 
@@ -32,25 +32,46 @@ class ToxicityModel:
     beta: np.ndarray
 
 
-def _units(words: list[str], restorer: Restorer) -> np.ndarray:
-    """Slots of each word's units: the restored word and its beginnings; SLOTS pads."""
+def _restored(w: str, restorer: Restorer) -> str:
+    """One word as it was meant; words of letters alone, none three times in a row, are as they stand."""
+    if w.isalpha() and not _TRIPLE.search(w):
+        return w
+    return restorer.word(_RUN.sub("", w.strip(_OUTER)).rstrip("!"))
+
+
+def _slots(words: list[str]) -> np.ndarray:
+    """Slots of each word and of its beginnings; SLOTS where a word has no such unit.
+
+    Characters are mixed with their places and added up, so that one running sum gives
+    the hash of every beginning.
+    """
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    begin = np.cumsum(size) - size
+    place = np.arange(len(chars)) - np.repeat(begin, size)
+    total = np.r_[np.uint64(0), np.cumsum(mix(chars.astype(np.uint64) ^ (place.astype(np.uint64) << np.uint64(21))))]
     out = np.full((len(words), 1 + len(FRONTS)), SLOTS, np.int64)
-    for i, w in enumerate(words):
-        w = restorer.word(_RUN.sub("", w.strip(_OUTER)).rstrip("!"))
-        if w:
-            out[i, 0] = xxhash.xxh32_intdigest("w" + w) % SLOTS
-            for k, n in enumerate(FRONTS):
-                if len(w) > n:
-                    out[i, k + 1] = xxhash.xxh32_intdigest(f"{n}{w[:n]}") % SLOTS
+    for k, n in enumerate((0, *FRONTS)):  # 0 stands for the whole word
+        has = np.flatnonzero(size > n)
+        end = begin[has] + (n or size[has])
+        out[has, k] = (mix(total[end] - total[begin[has]], n) % np.uint64(SLOTS)).astype(np.int64)
     return out
 
 
+def _units(words: pa.Array, restorer: Restorer) -> np.ndarray:
+    """Slots of each word's units: the restored word and its beginnings; SLOTS pads."""
+    parts = [np.zeros((0, 1 + len(FRONTS)), np.int64)]
+    for at in range(0, len(words), 1 << 15):
+        parts.append(_slots([_restored(w, restorer) for w in words.slice(at, 1 << 15).to_pylist()]))
+    return np.concatenate(parts)
+
+
 def _occurrences(texts: list, restorer: Restorer):
     """(text, word) of every distinct word in every text, and the words' units."""
     codes, offsets, distinct = words_of(pa.array([restorer.text((x or "").lower()) for x in texts], pa.large_string()))
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
     both = np.unique(owner * max(1, len(distinct)) + codes)
-    return both // max(1, len(distinct)), both % max(1, len(distinct)), _units(distinct.to_pylist(), restorer)
+    return both // max(1, len(distinct)), both % max(1, len(distinct)), _units(distinct, restorer)
 
 
 def pooled(texts: list, restorer: Restorer, weights: np.ndarray) -> np.ndarray:
@@ -87,7 +108,7 @@ def _unit_counts(language):
                 n[k] += np.bincount(seen[kind[seen // (SLOTS + 1)] == k] % (SLOTS + 1), minlength=SLOTS + 1)
         has = np.flatnonzero(n[:, :SLOTS].sum(0))
         yield pa.RecordBatch.from_arrays([pa.array(has), *(pa.array(x[has]) for x in n)], names=["slot", "n00", "n01", "n10", "n11"])
-    return run
+    return tidy(run)
 
 
 def _features(language, halves):
@@ -103,7 +124,7 @@ def _features(language, halves):
                     yield pa.RecordBatch.from_arrays(
                         [b.column(1).take(pa.array(rows)), pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))],
                         names=["y", "x"])
-    return run
+    return tidy(run)
 
 
 def _log_odds(slot, n0, n1, all0: int, all1: int, prior: float) -> np.ndarray:
@@ -176,11 +197,11 @@ def _scores(model):
     def run(batches):
         m = model.value
         restorer = Restorer(m.language)
-        for b in frames_of(batches, 16 << 20):
+        for b in frames_of(batches):
             x = (pooled(b.column(1).to_pylist(), restorer, m.units) - m.middle) / m.scale
             p = 1 / (1 + np.exp(-np.clip(x @ m.beta[:-1] + m.beta[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p)], names=["doc_id", "score"])
-    return run
+    return tidy(run)
 
 
 def toxicity(docs: DataFrame, model: ToxicityModel, cut: float = 0.3, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,10 +223,10 @@ def marked(docs: DataFrame, model: ToxicityModel, cut: float = 0.3, text: str =
     def run(batches):
         m = shared.value
         restorer = Restorer(m.language)
-        for b in frames_of(batches, 16 << 20):
+        for b in frames_of(batches):
             x = (pooled(b.column(at).to_pylist(), restorer, m.units) - m.middle) / m.scale
             p = 1 / (1 + np.exp(-np.clip(x @ m.beta[:-1] + m.beta[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, "toxic_score"])
 
     schema = docs.withColumn("toxic_score", F.lit(0.0)).schema
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,6 +192,19 @@ def test_licences_match_brute_force(spark, awkward):
     assert licences.licences(awkward).count() == 0
 
 
+def test_words_tokenise_as_whole_texts():
+    """Ids of texts put together from their words are the tokenizer's own, with odd punctuation and letters too."""
+    path = tokenizer("word_bpe_49k.json")
+    words, rng = packing.WordIds(path), random.Random(5)
+    parts = ["a", "B", "É", "e\u0301", "İ", "Σ", "ß", "3", "½", ".", ",", "..", "'s", "'", "!", "-", " ", "  ", "\n", "\x0b", "\u00a0", "\u0301", "日本", "x,", "K"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    for lot in (texts[:1500], texts[1500:]):  # the second lot meets remembered words
+        flat, at = words.encode(pa.array([*lot, None]), 1)
+        got = [flat[s:e].tolist() for s, e in zip(at[:-1], at[1:])]
+        want = [[*words.tok.encode(x, add_special_tokens=False).ids, 1] for x in [*lot, ""]]
+        assert got == want
+
+
 def test_deobfuscation_and_toxicity(spark, awkward, work):
     rng = np.random.default_rng(2)
     names = ["river", "stone", "window", "garden", "table", "morning", "letter", "yellow", "bridge", "winter"]
