@@ -33,7 +33,7 @@ def _day(day: str) -> Column:
 def daily_totals(
     facts: DataFrame, keys: Sequence[str], label: str = LABEL, day: str = "flight_date"
 ) -> DataFrame:
-    """Label sum and row count per key and day.
+    """Label sum, row count and count of labelled rows per key and day.
 
     Codes and days are never null in the result.  Joins on them then add no filters
     of their own, so that all uses of these totals in one plan stay identical and
@@ -42,13 +42,13 @@ def daily_totals(
     return (
         facts.select(*[_code(k).alias(k) for k in keys], _day(day).alias(DAY), F.col(label))
         .groupBy(*keys, DAY)
-        .agg(F.sum(label).alias("_sum"), F.count("*").alias("_cnt"))
+        .agg(F.sum(label).alias("_sum"), F.count("*").alias("_cnt"), F.count(label).alias("_known"))
     )
 
 
 def overall_rate(daily: DataFrame) -> Column:
-    """Mean label of all rows as a scalar subquery; 0 when there are none."""
-    mean = F.sum("_sum").cast("double") / F.nullif(F.sum("_cnt"), F.lit(0))
+    """Mean label of all labelled rows as a scalar subquery; 0 when there are none."""
+    mean = F.sum("_sum").cast("double") / F.nullif(F.sum("_known"), F.lit(0))
     return daily.agg(F.coalesce(mean, F.lit(0.0)).alias("rate")).scalar()
 
 
@@ -84,7 +84,8 @@ def with_history(
     """Facts with one prior-rate column per entity.
 
     The facts are aggregated once, to days of the finest combination of entity keys;
-    every entity and the overall prior derive from that small table, and it carries
+    every entity and the overall prior derive from that table, which has as many rows as
+    facts at most (few keys per day shrink it, many do not), and it carries
     all rates back in a single join.  ``prior_years`` restricts the overall prior to
     some years, for training sets that must not look at test years.
     """

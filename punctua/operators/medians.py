@@ -15,10 +15,12 @@ def exact_medians(
     The built-in exact median holds every distinct value of a group in one buffer.
     Here equal values are counted first, a histogram of ``bins`` slots per group
     locates the slots with the middle rows, and only those slots are put in order.
+    Null keys form groups like any other value.
     """
-    group = [*keys, "_metric"]
+    # The keys travel as one struct, which is never null: joins on it keep null keys.
+    group = ["_keys", "_metric"]
     values = df.select(
-        *keys,
+        F.struct(*keys).alias("_keys"),
         F.inline(
             F.array(
                 *[
@@ -72,9 +74,10 @@ def exact_medians(
         return F.max(F.when(here, F.col("_v")))
 
     found = ordered.groupBy(*group).agg(((at("_first") + at("_second")) / 2).alias("_median"))
-    return found.groupBy(*keys).agg(
+    wide = found.groupBy("_keys").agg(
         *[
             F.max(F.when(F.col("_metric") == c, F.col("_median"))).alias(f"median_{c}")
             for c in columns
         ]
     )
+    return wide.select("_keys.*", *[f"median_{c}" for c in columns])

@@ -59,11 +59,11 @@ def temporal_slices(
 ) -> DataFrame:
     """Label rows ``fit``, ``valid`` or ``calib`` by their position in time.
 
-    ``ties`` orders the rows of one day and should identify a row.  Within a day the
-    order is (three hex digits of a hash of ``ties``, ``ties``), since the position
-    inside a day has no meaning of its own.  Rows that agree on all of ``ties`` have no
-    order among them; where a cut falls between such copies they are dealt out to its
-    two sides in the proportion of the cut.
+    ``ties`` orders the rows of one day.  Within a day the order is (three hex digits of
+    a hash of ``ties``, ``ties``, a hash of all other columns), since the position inside
+    a day has no meaning of its own.  So rows that differ anywhere have one order, however
+    they are partitioned.  Rows equal in every column have none; where a cut falls between
+    such copies they are dealt out to its two sides in the proportion of the cut.
 
     The rows are never sorted.  Each cut is located as an order key in three counting
     steps: days (bounded by the calendar), hash shares of the day that holds the cut
@@ -73,6 +73,11 @@ def temporal_slices(
     # Names of their own, so that no column of the caller can clash with them.
     tie_keys = [f"_t{i}" for i in range(len(ties))]
     own = [F.col(c).alias(t) for c, t in zip(ties, tie_keys)]
+    # Rows that agree on ties are told apart by all else that can be hashed.
+    rest = sorted(f.name for f in df.schema if f.name not in (day, *ties) and "map<" not in f.dataType.simpleString())
+    if rest:
+        tie_keys.append("_rest")
+        own.append(F.xxhash64(*rest).alias("_rest"))
     up_to_here = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     days = (
         df.groupBy(F.col(day).alias("_day"))
@@ -119,9 +124,9 @@ def temporal_slices(
 
     def before(which: int) -> Column:
         cut = keys[f"c{which}"]
-        rest = F.struct(*[cut[c].alias(c) for c in ("_share", *tie_keys)])
-        copy = (mine == rest) & (F.col("_deal") < cut["_part"])
-        return (F.col(day) < cut["_day"]) | ((F.col(day) == cut["_day"]) & ((mine < rest) | copy))
+        place = F.struct(*[cut[c].alias(c) for c in ("_share", *tie_keys)])
+        copy = (mine == place) & (F.col("_deal") < cut["_part"])
+        return (F.col(day) < cut["_day"]) | ((F.col(day) == cut["_day"]) & ((mine < place) | copy))
 
     deal = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(2**30)) / F.lit(2.0**30)
     return (

@@ -428,7 +428,7 @@ LEFT JOIN origins o ON a.iata = o.origin
 LEFT JOIN (SELECT origin, string_agg(hour || ':' || {_MILLIONTHS}, ';' ORDER BY hour) AS by_hour
            FROM origin_hours GROUP BY origin) h ON a.iata = h.origin
 LEFT JOIN (SELECT origin, string_agg(dest || ':' || {_MILLIONTHS}, ';' ORDER BY rnk) AS worst_routes
-           FROM worst WHERE rnk <= 5 GROUP BY origin) w ON a.iata = w.origin
+           FROM worst GROUP BY origin) w ON a.iata = w.origin
 JOIN nearby n ON a.iata = n.iata"""
 )
 ORACLE["airport_congestion"] = (

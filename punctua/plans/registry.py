@@ -508,7 +508,7 @@ def airport_bridge(spark, d):
         dim,
         marts.airport_reliability(totals),
         marts.airport_hourly(totals),
-        marts.airport_worst_routes(totals, 5),
+        marts.airport_worst_routes(totals),
         joins.nearby_counts(dim, t.positions(spark, d)),
     )
     return docs.select(

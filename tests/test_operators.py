@@ -73,6 +73,22 @@ def test_airports_in_use(spark):
     assert joins.airports_in_use(None, dim).count() == 4
 
 
+def test_exact_medians_keep_null_keys(spark):
+    rows = [(None, None, 1.0), (None, None, 4.0), (None, "a", 2.0), ("b", "a", 7.0)]
+    df = spark.createDataFrame(rows, "o string, d string, x double")
+    got = {(r.o, r.d): r.median_x for r in medians.exact_medians(df, ["o", "d"], ["x"]).collect()}
+    assert got == {(None, None): 2.5, (None, "a"): 2.0, ("b", "a"): 7.0}
+
+
+def test_slices_with_repeated_ties_do_not_depend_on_partitions(spark):
+    df = spark.range(20000).selectExpr("id", "id % 50 as tie", "date'2024-01-01' as flight_date")
+    first, second = (slices.temporal_slices(d, ["tie"]) for d in (df, df.repartition(7)))
+    assert first.exceptAll(second).count() == 0
+    sizes = {r["slice"]: r["count"] for r in first.groupBy("slice").count().collect()}
+    n_valid, n_calib = int(20000 * slices.VALID_FRACTION), int(20000 * slices.CALIB_FRACTION)
+    assert sizes == {"fit": 20000 - n_valid - n_calib, "valid": n_valid, "calib": n_calib}
+
+
 def test_exact_medians_equal_brute_force(spark):
     rng = random.Random(3)
     rows = [("hot", "d", rng.choice([1.0, 2.5, rng.uniform(0, 1e6)]), None) for _ in range(2001)]
