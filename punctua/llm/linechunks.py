@@ -54,6 +54,34 @@ def chunks(text: Column, one_in: int = 4, long_line: int = 50) -> Column:
     return _bound(_bound(parts, ended), sliced)
 
 
+def _repeats(keyed: DataFrame, src: DataFrame, cut, at, work: Workspace) -> DataFrame:
+    """``(id, gone)``: the set of (k, h) of units of a document that stand before it as well.
+
+    ``keyed(id, k, h)`` are the units' places and digests, ``at(k)`` is the text of a unit
+    in a row of ``cut(src)``.  Digests, ids and places are grouped first; texts of units whose
+    digest occurs once never leave their rows.
+    """
+    keyed = work.store(keyed, "keyed")
+    again = work.store(
+        keyed.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "k")).alias("first")).where("n > 1")
+        .select("h", "first"), "again")
+    marks = work.store(
+        keyed.join(again, "h").groupBy("id")
+        .agg(F.collect_set(F.struct("k", "h", (F.struct("id", "k") == F.col("first")).alias("first"))).alias("marks")), "marks")
+    work.drop(keyed, again)
+    texts = work.store(
+        cut(src.join(marks, "id"))
+        .select("id", F.explode(F.transform("marks", lambda m: F.struct(
+            m["k"].alias("k"), m["h"].alias("h"), m["first"].alias("first"), at(m["k"]).alias("t")))).alias("m"))
+        .select("id", "m.*").where("unhex(md5(t)) = h"), "texts")
+    first = texts.where("first").select("h", F.col("t").alias("t0"), F.col("id").alias("id0"), F.col("k").alias("k0"))
+    gone = work.store(
+        texts.where("not first").join(first, "h").where("t = t0").groupBy("id")
+        .agg(F.collect_set(F.struct("k", "h")).alias("gone")), "gone")
+    work.drop(marks, texts)
+    return gone
+
+
 def dedup_lines(
     docs: DataFrame, work: Workspace, one_in: int = 4, long_line: int = 50, least_words: int = 20,
     id_col: str = "doc_id", text: str = "text",
@@ -64,9 +92,8 @@ def dedup_lines(
     document id, then place), and it has two lines and ``least_words`` words at least, or
     ``long_line`` words.  Shorter common phrases stay.
 
-    Digests, ids and places are grouped first; texts of chunks whose digest occurs once
-    never leave their rows.  The others' bytes are compared with those of the first
-    occurrence, and only equal ones go, so a digest collision removes nothing.
+    A repeated chunk's bytes are compared with those of the first occurrence, and only
+    equal ones go, so a digest collision removes nothing.
 
     Defined cases: null texts stay null with 1 empty chunk; empty texts stay; rows sharing
     an id count as one document, whose copies keep the same chunks; a null id takes no
@@ -75,27 +102,10 @@ def dedup_lines(
     cut = lambda df: df.withColumn("_chunks", chunks(F.col(text), one_in, long_line))
     qualifies = "words >= {0} or (lines >= 2 and words >= {1})".format(long_line, least_words)
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text))
-    keyed = work.store(
+    keyed = (
         cut(src).select("id", F.posexplode("_chunks").alias("k", "c")).select("id", "k", "c.*").where(qualifies)
-        .select("id", "k", F.unhex(F.md5("text")).alias("h")), "keyed")
-    again = work.store(
-        keyed.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "k")).alias("first")).where("n > 1")
-        .select("h", "first"), "again")
-    marks = work.store(
-        keyed.join(again, "h").groupBy("id")
-        .agg(F.collect_set(F.struct("k", "h", (F.struct("id", "k") == F.col("first")).alias("first"))).alias("marks")), "marks")
-    work.drop(keyed, again)
-    at = lambda m: F.get("_chunks", m["k"])["text"]
-    texts = work.store(
-        cut(src.join(marks, "id"))
-        .select("id", F.explode(F.transform("marks", lambda m: F.struct(
-            m["k"].alias("k"), m["h"].alias("h"), m["first"].alias("first"), at(m).alias("t")))).alias("m"))
-        .select("id", "m.*").where("unhex(md5(t)) = h"), "texts")
-    first = texts.where("first").select("h", F.col("t").alias("t0"), F.col("id").alias("id0"), F.col("k").alias("k0"))
-    gone = work.store(
-        texts.where("not first").join(first, "h").where("t = t0").groupBy("id")
-        .agg(F.collect_set(F.struct("k", "h")).alias("gone")), "gone")
-    work.drop(marks, texts)
+        .select("id", "k", F.unhex(F.md5("text")).alias("h")))
+    gone = _repeats(keyed, src, cut, lambda k: F.get("_chunks", k)["text"], work)
 
     both = cut(docs.join(gone.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left"))
     left = F.filter("_chunks", lambda c, k: ~F.coalesce(F.exists(
@@ -106,3 +116,60 @@ def dedup_lines(
             F.array_join(F.transform("_left", lambda c: c["text"]), "\n")).alias(text) if c == text else F.col(c) for c in docs.columns],
         F.size("_chunks").alias("n_chunks"),
         F.when(F.col("gone").isNull(), 0).otherwise(F.size("_chunks") - F.size("_left")).alias("removed"))
+
+
+def _unit(lines: Column, k: Column) -> Column:
+    """Text of unit ``k``: line k / 2 if even, else the pair of lines around that break."""
+    i = F.shiftright(k, 1)
+    return F.when(k % 2 == 0, F.get(lines, i)).otherwise(F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1)))
+
+
+def dedup_passages(
+    docs: DataFrame, work: Workspace, long_line: int = 50, least_words: int = 20, id_col: str = "doc_id", text: str = "text",
+) -> DataFrame:
+    """``docs`` with globally repeated passages taken out of ``text``; adds ``n_lines`` and ``removed``.
+
+    Every pair of adjacent lines is looked up, so a passage needs no boundary of its own:
+    it is a maximal run of lines each of whose adjacent pairs stands earlier (by document
+    id, then place).  Runs of ``least_words`` words go, however short their lines, and so do
+    repeated lines of ``long_line`` words.  A line's first occurrence is in no repeated
+    pair, so each distinct line stays somewhere.  Whatever ``dedup_lines`` takes out is
+    inside such a run.
+
+    Bytes are compared and the cases defined as in ``dedup_lines``; texts of one line and
+    null texts have 1 line.
+    """
+    cut = lambda df: df.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n"))
+
+    def units(lines):
+        pairs = F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda l, i: F.struct(
+            (2 * i + 1).alias("k"), F.unhex(F.md5(F.concat(l, F.lit("\n"), F.get(lines, i + 1)))).alias("h")))
+        # A line of so many words has twice as many characters, all but one.
+        long = F.filter(F.transform(lines, lambda l, i: F.when(
+            (F.length(l) >= 2 * long_line - 1) & (word_count(l) >= long_line),
+            F.struct((2 * i).alias("k"), F.unhex(F.md5(l)).alias("h")))), lambda u: u.isNotNull())
+        return F.concat(pairs, long)
+
+    src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text))
+    keyed = cut(src).select("id", F.explode(_bound(F.col("_lines"), units)).alias("u")).select("id", "u.*")
+    gone = _repeats(keyed, src, cut, lambda k: _unit(F.col("_lines"), k), work)
+
+    both = cut(docs.join(gone.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left"))
+    own = F.transform(F.filter("gone", lambda g: F.coalesce(
+        g["h"] == F.unhex(F.md5(_unit(F.col("_lines"), g["k"]))), F.lit(False))), lambda g: g["k"])
+    both = both.withColumn("_gone", own)
+    linked = F.transform(F.filter("_gone", lambda k: k % 2 == 1), lambda k: F.shiftright(k, 1) + 1)
+    both = both.withColumn("_begins", F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), linked)))
+
+    def kept(begin, j):
+        n = F.coalesce(F.get("_begins", j + 1), F.size("_lines")) - begin
+        words = F.aggregate(F.slice("_lines", begin + 1, n), F.lit(0), lambda a, l: a + word_count(l))
+        goes = F.when(n > 1, words >= least_words).otherwise(F.array_contains("_gone", 2 * begin))
+        return F.when(goes, F.array().cast("array<string>")).otherwise(F.slice("_lines", begin + 1, n))
+
+    both = both.withColumn("_left", F.when(F.col("gone").isNotNull(), F.flatten(F.transform("_begins", kept))))
+    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("_lines") - F.size("_left"))
+    return both.select(
+        *[F.when(removed == 0, F.col(text)).otherwise(F.array_join("_left", "\n")).alias(text) if c == text else F.col(c)
+          for c in docs.columns],
+        F.size("_lines").alias("n_lines"), removed.alias("removed"))

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from punctua.llm import charlm, hnsw, licences, linechunks, minhash, packing, pieces, topk, toxicity, urls, warc
 from punctua.llm.common import Workspace
 from punctua.llm.queries import tokenizer
@@ -175,6 +176,30 @@ def test_line_chunks(spark, awkward, work):
     assert linechunks.dedup_lines(awkward.limit(0), work).count() == 0
 
 
+def test_passages_of_short_lines(spark, awkward, work):
+    def own(tag):
+        return "\n".join(" ".join(f"{tag}{k}y{j}" for j in range(20)) for k in range(3))
+
+    texts, want = [], []
+    for lines, words in ((2, 40), (3, 20), (4, 15), (5, 12), (8, 10), (10, 10)):
+        for n in range(4):
+            tag = f"{lines}z{words}z{n}"
+            passage = "\n".join(" ".join(f"{tag}p{k}x{j}" for j in range(words)) for k in range(lines))
+            for copy in "ab":
+                texts.append(f"{own(tag + copy)}\n{passage}\n{own(tag + copy + 'e')}")
+                want.append(texts[-1] if copy == "a" else f"{own(tag + copy)}\n{own(tag + copy + 'e')}")
+    texts += ["common line\nother\nq", "common line\nother\nr"]
+    want += texts[-2:]
+    got = {r["doc_id"]: r for r in linechunks.dedup_passages(docs_of(spark, texts), work).collect()}
+    assert [got[i]["text"] for i in range(len(texts))] == want
+    assert [got[i]["removed"] for i in (0, 1, 3)] == [0, 2, 2] and got[1]["n_lines"] == 8
+    stage = corpus_pipeline.drop_repeated_lines(spark, docs_of(spark, texts), "")
+    assert {r["doc_id"]: r["text"] for r in stage.collect()} == dict(enumerate(want))
+    out = linechunks.dedup_passages(awkward, work)
+    assert out.count() == awkward.count() and out.where("doc_id = 0").first()["text"] is None
+    assert out.where("removed > 0").count() == 0 and linechunks.dedup_passages(awkward.limit(0), work).count() == 0
+
+
 def test_licences_match_brute_force(spark, awkward):
     fill = " ".join(f"f{k}" for k in range(70))
     texts = [f"{fill} {t} {fill}" for t in licences.TEMPLATES.values()] + [fill, "MIT License"]
