@@ -1,4 +1,4 @@
-"""Lexical retrieval packing: windows filled from a sharded BM25 inverted index."""
+"""Lexical retrieval packing: windows filled from a BM25 inverted index, sharded by wording."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from punctua.llm.common import Workspace, ascii_lower, frames_of, per_process, ragged, tidy, words_of
+from punctua.llm.common import Workspace, ascii_lower, frames_of, mix, per_process, ragged, tidy, words_of
 
 CUT = "doc_id bigint, start bigint, length bigint, doc_tokens bigint, crc bigint, ids binary, tokens array<int>, df array<bigint>"
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -114,6 +114,67 @@ def _cut(path: str, window: int, end_id: int):
 NAMES = [c.split()[0] for c in CUT.split(", ")]
 
 
+class Sketches:
+    """Short unit vectors of tails: random projections of their term weights.
+
+    Terms of one document only connect nothing and weigh nothing.
+    """
+
+    def __init__(self, idf: np.ndarray, df: np.ndarray, width: int = 128):
+        self.idf = np.where(df > 1, idf, 0.0).astype(np.float32)
+        self.signs = np.random.default_rng(11).integers(0, 2, (len(idf), width)).astype(np.float32) * 2 - 1
+
+    def of(self, tails: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(tails), self.signs.shape[1]), np.float32)
+        for i, t in enumerate(tails):
+            token, count = np.unique(t, return_counts=True)
+            v = (self.idf[token] * (count / (count + 1.2)).astype(np.float32)) @ self.signs[token]
+            out[i] = v / max(1e-9, float(np.sqrt(v @ v)))
+        return out
+
+
+class WordingTree:
+    """Parts sketches into 2 ** ``depth`` leaves of about equal size and alike wording.
+
+    Each node halves its sample at the median of its principal direction.  Sketches that
+    lie on the median, as copies of one text do, are dealt out by ``coin``, so that no
+    group of copies makes a leaf large.
+    """
+
+    def __init__(self, x: np.ndarray, coin: np.ndarray, depth: int):
+        self.depth = depth
+        self.axis, self.middle = np.zeros((1 << depth, x.shape[1]), np.float32), np.zeros(1 << depth, np.float32)
+        node = np.ones(len(x), np.int64)
+        for level in range(depth):
+            order = np.argsort(node, kind="stable")
+            for k, rows in zip(*self._groups(node[order], order)):
+                centred = x[rows] - x[rows].mean(0)
+                self.axis[k] = np.linalg.eigh(centred.T @ centred)[1][:, -1]
+                self.middle[k] = np.median(np.einsum("ij,j->i", x[rows], self.axis[k]))
+            node = self._down(x, node, coin, level)
+
+    @staticmethod
+    def _groups(nodes: np.ndarray, order: np.ndarray):
+        ids, first = np.unique(nodes, return_index=True)
+        return ids.tolist(), np.split(order, first[1:])
+
+    def _down(self, x, node, coin, level):
+        s = np.einsum("ij,ij->i", x, self.axis[node]) - self.middle[node]
+        toss = (mix(coin, level) & np.uint64(1)).astype(bool)
+        return 2 * node + np.where(np.abs(s) <= 1e-5, toss, s > 0)
+
+    def leaf(self, x: np.ndarray, coin: np.ndarray) -> np.ndarray:
+        node = np.ones(len(x), np.int64)
+        for level in range(self.depth):
+            node = self._down(x, node, coin, level)
+        return node - (1 << self.depth)
+
+
+def halvings(n: int, size: int) -> int:
+    """How often to halve ``n`` rows for parts of about ``size``."""
+    return max(0, round(np.log2(max(1, n) / size)))
+
+
 class InvertedIndex:
     """BM25 postings of one shard's tails, by token: documents and their term weights."""
 
@@ -197,16 +258,18 @@ def in_powers(row: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]
 
 
 def pack(
-    docs: DataFrame, work: Workspace, path: str, window: int = 2048, shard_docs: int = 1024, end_id: int = 1,
+    docs: DataFrame, work: Workspace, path: str, window: int = 2048, shard_docs: int = 1024, end_id: int = 1, sample: int = 20_000,
     id_col: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """Pieces ``(doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset)``.
 
     A document's ids (``end_id`` last) are cut at every ``window``: full pieces are
-    sequences of their own.  What is left of each document goes, by a hash of its id, to a
-    shard of about ``shard_docs`` tails with an inverted index of its own; term weights use
-    document counts over all whole documents (bounded by the vocabulary on the driver).
-    A shard's last, short window is parted into powers of two, so nothing is padded.
+    sequences of their own.  What is left of each document goes to a shard of about
+    ``shard_docs`` tails of alike wording with an inverted index of its own: a tree fitted
+    on at most about ``sample`` tails parts all tails, and a task parts what is still larger.
+    Term weights use document counts over all whole documents (bounded by the vocabulary
+    on the driver).  A shard's last, short window is parted into powers of two, so nothing
+    is padded.
 
     Defined cases: null and empty texts are the end id alone; ids may be null or repeat,
     each row being a document; an empty table gives no rows.
@@ -222,9 +285,20 @@ def pack(
     token, n = counts.column(0).to_numpy(), counts.column(1).to_numpy()
     df = np.zeros(int(token.max(initial=end_id)) + 1, np.int64)
     df[token] = n
-    idf = docs.sparkSession.sparkContext.broadcast(np.log1p((total["docs"] - df + 0.5) / (df + 0.5)))
+    sc = docs.sparkSession.sparkContext
+    idf = np.log1p((total["docs"] - df + 0.5) / (df + 0.5))
     mean = (total["ids"] or 0) / max(1, total["tails"])
-    shards = max(1, -(-total["docs"] // shard_docs))
+    shared = sc.broadcast((idf, Sketches(idf, df)))
+    pieces = pieces.select("doc_id", "start", "length", "doc_tokens", "crc", "ids").withColumn(
+        "coin", F.xxhash64("doc_id", "start", "doc_tokens"))
+    shares = max(1, -(-total["tails"] // sample))
+    held = (
+        pieces.where(F.col("ids").isNotNull() & (F.pmod(F.xxhash64("coin"), F.lit(shares)) == 0)).select("ids", "coin")
+        .mapInArrow(_sketched(shared), "x binary, coin bigint").toArrow().sort_by([("coin", "ascending"), ("x", "ascending")]))
+    x = np.frombuffer(b"".join(held.column(0).to_pylist()), np.float32).reshape(held.num_rows, -1) if held.num_rows else np.zeros((0, 1), np.float32)
+    # A leaf of under 16 sampled tails would be fitted to chance.
+    depth = min(halvings(total["tails"], shard_docs), halvings(held.num_rows, 16))
+    tree = sc.broadcast(WordingTree(x, held.column(1).to_numpy(), depth))
 
     def packed(key, part):
         part = part.sort_values(["doc_id", "start", "length", "doc_tokens"], kind="stable", na_position="first")
@@ -235,23 +309,57 @@ def pack(
             "doc_tokens": full["doc_tokens"], "sequence_id": first + np.arange(len(full)), "offset": 0})
         if not len(tail):
             return whole
+        idf, sketches = shared.value
         ids = [np.frombuffer(x, "<u4").astype(np.int64) for x in tail["ids"]]
-        sizes = np.array([len(x) for x in ids], np.int64)
-        rows = fill(sizes, InvertedIndex(ids, idf.value, mean), window)
-        if sum(r[2] for r in rows[-1]) < window:
-            rows[-1:] = in_powers(rows[-1])
+        lots, more = [np.arange(len(ids))], halvings(len(ids), shard_docs)
+        if more:
+            x, coin = sketches.of(ids), tail["coin"].to_numpy()
+            leaf = WordingTree(x, coin, more).leaf(x, coin)
+            lots = [np.flatnonzero(leaf == k) for k in np.unique(leaf)]
         out, names, starts, totals = [], tail["doc_id"].tolist(), tail["start"].tolist(), tail["doc_tokens"].tolist()
-        for k, row in enumerate(rows):
-            offset = 0
-            for i, begin, size in row:
-                crc = zlib.crc32(ids[i][begin:begin + size].astype("<u4").tobytes())
-                out.append((names[i], starts[i] + begin, size, crc, totals[i], first + len(full) + k, offset))
-                offset += size
+        k = first + len(full)
+        for lot in lots:
+            own = [ids[i] for i in lot]
+            rows = fill(np.array([len(x) for x in own], np.int64), InvertedIndex(own, idf, mean), window)
+            if sum(r[2] for r in rows[-1]) < window:
+                rows[-1:] = in_powers(rows[-1])
+            for row in rows:
+                offset = 0
+                for j, begin, size in row:
+                    i = lot[j]
+                    crc = zlib.crc32(ids[i][begin:begin + size].astype("<u4").tobytes())
+                    out.append((names[i], starts[i] + begin, size, crc, totals[i], k, offset))
+                    offset += size
+                k += 1
         made = pd.DataFrame(out, columns=list(whole.columns))
         made["doc_id"] = made["doc_id"].astype("Int64")
         return pd.concat([whole, made])
 
-    shard = F.pmod(F.xxhash64("doc_id", "start", "doc_tokens"), F.lit(shards))
     return (
-        pieces.select("doc_id", "start", "length", "doc_tokens", "crc", "ids").withColumn("shard", shard)
+        pieces.mapInArrow(_dealt(shared, tree), pieces.withColumn("shard", F.lit(0).cast("long")).schema)
         .groupBy("shard").applyInPandas(packed, PIECES))
+
+
+def _tails(ids: pa.Array) -> list[np.ndarray]:
+    return [np.frombuffer(x, "<u4").astype(np.int64) for x in ids.to_pylist()]
+
+
+def _sketched(shared):
+    def run(batches):
+        for b in frames_of(batches):
+            x = shared.value[1].of(_tails(b.column(0)))
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in x], pa.binary()), b.column(1)], names=["x", "coin"])
+    return tidy(run)
+
+
+def _dealt(shared, tree):
+    """Pieces with their shard: full windows by their coin alone, tails by their wording."""
+    def run(batches):
+        for b in frames_of(batches):
+            coin, ids = b.column("coin").to_numpy(), b.column("ids")
+            shard = (mix(coin) % np.uint64(1 << tree.value.depth)).astype(np.int64)
+            has = np.flatnonzero(ids.is_valid().to_numpy(zero_copy_only=False))
+            if len(has) and tree.value.depth:
+                shard[has] = tree.value.leaf(shared.value[1].of(_tails(ids.take(pa.array(has)))), coin[has])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(shard)], names=[*b.schema.names, "shard"])
+    return tidy(run)

@@ -176,6 +176,22 @@ def test_line_chunks(spark, awkward, work):
     assert linechunks.dedup_lines(awkward.limit(0), work).count() == 0
 
 
+def test_packing_finds_neighbours_in_other_shards(spark, work):
+    """Most pieces lie beside one of their own topic, though a shard holds a sixteenth of the tails."""
+    rng = np.random.default_rng(4)
+    topics = [[f"{a}{b}{c}" for a, b, c in zip(*(rng.choice(list(x), 60) for x in ("bdfgklmnprst", "aeiou", "bdfgklmnprst")))] for _ in range(64)]
+    texts = [" ".join(topics[i % 64][k] for k in rng.integers(0, 60, 60)) for i in range(2048)]
+    rows = packing.pack(docs_of(spark, texts), work, tokenizer("word_bpe_49k.json"), window=512, shard_docs=128).collect()
+    windows = {}
+    for r in rows:
+        windows.setdefault(r["sequence_id"], []).append(r["doc_id"] % 64)
+    same = [np.mean([t == o for o in w[:i] + w[i + 1:]]) for w in windows.values() if len(w) > 1 for i, t in enumerate(w)]
+    assert np.mean(same) > 0.5 and {r["doc_id"] for r in rows} == set(range(2048))
+    # Copies of one text fill no shard of their own.
+    x = np.repeat(np.random.default_rng(1).normal(size=(1, 8)).astype(np.float32), 4096, 0)
+    assert np.bincount(packing.WordingTree(x, np.arange(4096), 3).leaf(x, np.arange(4096)), minlength=8).max() < 700
+
+
 def test_passages_of_short_lines(spark, awkward, work):
     def own(tag):
         return "\n".join(" ".join(f"{tag}{k}y{j}" for j in range(20)) for k in range(3))
