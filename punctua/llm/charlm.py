@@ -17,7 +17,9 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "
 SPACE, OTHER, SIZE = len(LETTERS), len(LETTERS) + 1, len(LETTERS) + 2
 CODE = {c: i for i, c in enumerate(LETTERS)} | {" ": SPACE}
 _L = re.escape(LETTERS)
-ODD = re.compile(rf"[a-z][0-9@$!|+(€£]+[{_L}]|^[0-9@$!|(€£]+[{_L}]{{2}}|[{_L}]{{2}}[013457@$!|]+$|([{_L}])\1\1")
+_S = re.escape("".join(LEET))
+# What may be disguised: a letter and a look-alike, digits among symbols, a letter twice in a row.
+ODD = re.compile(rf"[{_L}].*[{_S}]|[{_S}].*[{_L}]|[0-9].*[@$!|+(]{{2}}|[@$!|+(]{{2}}.*[0-9]|([{_L}])\1", re.DOTALL)
 SPACED = re.compile(rf"(?<![^\s])(?:[{_L}@$!|0-9](?:[ .\-_*]+|\n))(?:[{_L}@$!|0-9][ .\-_*]+)+[{_L}@$!|0-9](?![^\s.,;:!?])")
 
 
@@ -74,7 +76,7 @@ class Restorer:
     without such spots has one path only and is returned as it is.
     """
 
-    SWAP, DROP, JOIN, KEEP = 1.0, 0.7, 0.3, 6.0
+    SWAP, DROP, TWICE, JOIN, KEEP = 1.0, 0.7, 8.0, 0.3, 12.0
 
     def __init__(self, model: np.ndarray):
         self.model, self.known = model, {}
@@ -90,6 +92,8 @@ class Restorer:
             here += [(i + 1, x, self.SWAP) for x in LEET.get(c, "")]
             if j - i > 2 and c in CODE and (i == 0 or s[i - 1] != c):
                 here = [(j, c, self.DROP), (j, c * 2, self.DROP)] + ([] if spaced or j - i > 3 else [(j, s[i:j], self.DROP)])
+            elif j - i == 2 and c in CODE and not spaced:
+                here += [(j, c, self.TWICE)]
             if spaced and not c.isalnum() and c not in "@$!|":
                 here = [(j, "", self.JOIN), (j, " ", self.DROP)]
             out.append(here)

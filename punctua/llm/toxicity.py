@@ -16,7 +16,7 @@ SLOTS = 1 << 20
 FRONTS = (3, 4, 5, 6, 7)
 TOPS = (0, 1, 2, 4, 7)
 LEVELS = (0.7, 1.5, 2.5, 3.5)
-_TRIPLE = re.compile(r"(.)\1\1")
+_DOUBLE = re.compile(r"(.)\1")
 _RUN = re.compile(r"([$!@|])\1\1+$")
 _OUTER = ".,;:?\"'()[]#%&*<>"
 
@@ -33,8 +33,8 @@ class ToxicityModel:
 
 
 def _restored(w: str, restorer: Restorer) -> str:
-    """One word as it was meant; words of letters alone, none three times in a row, are as they stand."""
-    if w.isalpha() and not _TRIPLE.search(w):
+    """One word as it was meant; words of letters alone, none twice in a row, are as they stand."""
+    if w.isalpha() and not _DOUBLE.search(w):
         return w
     return restorer.word(_RUN.sub("", w.strip(_OUTER)).rstrip("!"))
 

@@ -269,6 +269,19 @@ def test_deobfuscation_and_toxicity(spark, awkward, work):
     assert toxicity.toxicity(awkward, none).where("predicted = 1").count() == 0
 
 
+def test_disguised_words_reach_the_decoder():
+    words = ["idiot", "stupid", "ass", "moron", "book", "letter", "anna", "river", "window", "coffee", "table"]
+    lines = [" ".join(words[i:] + words[:i]) for i in range(len(words))] * 40
+    grams = np.zeros(charlm.SIZE**3, np.int64)
+    for b in charlm._count(iter([pa.RecordBatch.from_arrays([pa.array(lines)], names=["text"])])):
+        grams[b.column(0).to_numpy()] = b.column(1).to_numpy()
+    restorer = charlm.Restorer(charlm.log_model(grams.reshape((charlm.SIZE,) * 3)))
+    hidden = {"1d107": "idiot", "a55": "ass", "a$$": "ass", "4$$": "ass", "id1o7": "idiot", "5tup1d": "stupid", "stuupid": "stupid", "iddiot": "idiot", "m0r0n": "moron"}
+    assert {w: toxicity._restored(w, restorer) for w in hidden} == hidden
+    for w in ["book", "letter", "anna", "coffee", "river", "2024", "1,000", "$100", "100$", "3.14", "+44"]:
+        assert toxicity._restored(w, restorer) == w
+
+
 def test_url_rules_and_model(spark, work):
     rows = [f"https://{'www.casino-win' if i % 3 == 0 else 'blog.stone'}.example.net/en/{i}{'?a=1&b=2' if i % 3 == 0 else ''}" for i in range(300)]
     labelled = spark.createDataFrame([(u, int(i % 3 == 0)) for i, u in enumerate(rows)], "url string, bad int")
