@@ -1,10 +1,10 @@
-"""The ten operators over the test tables, with their SQL twins where SQL can tell."""
+"""The numbered operators over the test tables, with their SQL twins where SQL can tell."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from punctua.llm import hnsw, licences, linechunks, minhash, packing, pieces, topk, toxicity, urls, warc
+from punctua.llm import hnsw, infill, licences, linechunks, minhash, packing, pieces, quality, repair, topk, toxicity, twins, urls, warc
 from punctua.llm.common import Workspace
 
 
@@ -77,6 +77,26 @@ def op10_licences(spark, folder):
     return licences.licences(_table(spark, folder, "documents"))
 
 
+def op11_infill(spark, folder):
+    out = infill.restored(infill.fill_in_middle(_table(spark, folder, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2(F.col("infill").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+def op12_quality_rules(spark, folder):
+    work = Workspace(spark, "op12")
+    rows = work.store(quality.measured(_table(spark, folder, "documents").select("doc_id", "text")).drop("text"), "measured")
+    out = quality.judged(rows, quality.fit_rules(rows))
+    return out.select("doc_id", *[f"quality.{c}" for c in (
+        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+def op13_conversations(spark, folder):
+    rows = repair.damaged(_table(spark, folder, "conversations"))
+    return repair.repaired(rows, Workspace(spark, "op13"), every=_table(spark, folder, "conversations").select("conv_id"))
+
+
 def pipeline(spark, folder):
     import corpus_pipeline
 
@@ -85,7 +105,7 @@ def pipeline(spark, folder):
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filter, op2_minhash_groups, op3_embedding_groups, op4_line_chunks, op5_sentencepiece, op6_warc, op7_toxicity,
-    op8_packing, op9_top_k, op10_licences, pipeline)}
+    op8_packing, op9_top_k, op10_licences, op11_infill, op12_quality_rules, op13_conversations, pipeline)}
 
 # Reachability over links(a, b), smaller ends on both sides of every edge.
 _CLOSURE = """
@@ -170,4 +190,7 @@ scored AS (
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
 """,
+    "op11_infill": twins.INFILL,
+    "op12_quality_rules": twins.QUALITY,
+    "op13_conversations": twins.REPAIR,
 }
