@@ -82,9 +82,32 @@ def _repeats(keyed: DataFrame, src: DataFrame, cut, at, work: Workspace) -> Data
     return gone
 
 
+def _beside(docs: DataFrame, gone: DataFrame, id_col: str, text: str) -> DataFrame:
+    """Every row of ``docs`` as one struct ``row``, so that no input name can clash, with its ``t`` and ``gone``."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("at"), F.col(text).alias("t"))
+    return rows.join(gone.select(F.col("id").alias("gone_at"), "gone"), F.col("at") == F.col("gone_at"), "left")
+
+
+def _shown(docs: DataFrame, both: DataFrame, text: str, names: tuple[str, str]) -> DataFrame:
+    """The input's columns with the text of ``x``, then its two counts; an input column named like a count is replaced."""
+    kept = [F.col("x.text").alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in names]
+    return both.select(*kept, *[F.col(f"x.{k}").alias(c) for k, c in zip(("n", "removed"), names)])
+
+
+def _proven(gone: Column, unit) -> Column:
+    """Places of ``gone`` whose unit in this very text has the digest: rows sharing an id may differ."""
+    own = F.filter(gone, lambda g: F.coalesce(g["h"] == F.unhex(F.md5(unit(g["k"]))), F.lit(False)))
+    return F.array_distinct(F.transform(own, lambda g: g["k"]))
+
+
+def _except(n: Column, places: Column) -> Column:
+    """0 to n - 1 without ``places``, in order."""
+    return F.sort_array(F.array_except(F.sequence(F.lit(0), n - 1), places))
+
+
 def dedup_lines(
     docs: DataFrame, work: Workspace, one_in: int = 4, long_line: int = 50, least_words: int = 20,
-    id_col: str = "doc_id", text: str = "text",
+    id_col: str = "doc_id", text: str = "text", out: tuple[str, str] = ("n_chunks", "removed"),
 ) -> DataFrame:
     """``docs`` with globally repeated chunks taken out of ``text``; adds ``n_chunks`` and ``removed``.
 
@@ -97,25 +120,25 @@ def dedup_lines(
 
     Defined cases: null texts stay null with 1 empty chunk; empty texts stay; rows sharing
     an id count as one document, whose copies keep the same chunks; a null id takes no
-    part and keeps its text; text may become empty; an empty table stays empty.
+    part and keeps its text; text may become empty; an empty table stays empty; any column
+    names may occur, those of ``out`` are replaced.
     """
-    cut = lambda df: df.withColumn("_chunks", chunks(F.col(text), one_in, long_line))
+    cut = lambda df: df.withColumn("_chunks", chunks(F.col("t"), one_in, long_line))
     qualifies = "words >= {0} or (lines >= 2 and words >= {1})".format(long_line, least_words)
-    src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text))
+    src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
     keyed = (
         cut(src).select("id", F.posexplode("_chunks").alias("k", "c")).select("id", "k", "c.*").where(qualifies)
         .select("id", "k", F.unhex(F.md5("text")).alias("h")))
     gone = _repeats(keyed, src, cut, lambda k: F.get("_chunks", k)["text"], work)
 
-    both = cut(docs.join(gone.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left"))
-    left = F.filter("_chunks", lambda c, k: ~F.coalesce(F.exists(
-        F.col("gone"), lambda g: (g["k"] == k) & (g["h"] == F.unhex(F.md5(c["text"])))), F.lit(False)))
-    both = both.withColumn("_left", F.when(F.col("gone").isNotNull(), left))
-    return both.select(
-        *[F.when(F.col("gone").isNull(), F.col(text)).otherwise(
-            F.array_join(F.transform("_left", lambda c: c["text"]), "\n")).alias(text) if c == text else F.col(c) for c in docs.columns],
-        F.size("_chunks").alias("n_chunks"),
-        F.when(F.col("gone").isNull(), 0).otherwise(F.size("_chunks") - F.size("_left")).alias("removed"))
+    def cleaned(s):
+        left = F.transform(_except(F.size(s["c"]), _proven(s["gone"], lambda k: F.get(s["c"], k)["text"])), lambda k: F.get(s["c"], k)["text"])
+        return F.struct(F.array_join(left, "\n").alias("text"), F.size(s["c"]).alias("n"), (F.size(s["c"]) - F.size(left)).alias("removed"))
+
+    whole = F.struct(F.col("t").alias("text"), F.size(chunks(F.col("t"), one_in, long_line)).alias("n"), F.lit(0).alias("removed"))
+    parts = F.struct(chunks(F.col("t"), one_in, long_line).alias("c"), F.col("gone"))
+    both = _beside(docs, gone, id_col, text).withColumn("x", F.when(F.col("gone").isNull(), whole).otherwise(_bound(parts, cleaned)))
+    return _shown(docs, both, text, out)
 
 
 def _unit(lines: Column, k: Column) -> Column:
@@ -126,6 +149,7 @@ def _unit(lines: Column, k: Column) -> Column:
 
 def dedup_passages(
     docs: DataFrame, work: Workspace, long_line: int = 50, least_words: int = 20, id_col: str = "doc_id", text: str = "text",
+    out: tuple[str, str] = ("n_lines", "removed"),
 ) -> DataFrame:
     """``docs`` with globally repeated passages taken out of ``text``; adds ``n_lines`` and ``removed``.
 
@@ -139,7 +163,7 @@ def dedup_passages(
     Bytes are compared and the cases defined as in ``dedup_lines``; texts of one line and
     null texts have 1 line.
     """
-    cut = lambda df: df.withColumn("_lines", F.split(F.coalesce(text, F.lit("")), "\n"))
+    cut = lambda df: df.withColumn("_lines", F.split(F.coalesce("t", F.lit("")), "\n"))
 
     def units(lines):
         pairs = F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda l, i: F.struct(
@@ -150,26 +174,41 @@ def dedup_passages(
             F.struct((2 * i).alias("k"), F.unhex(F.md5(l)).alias("h")))), lambda u: u.isNotNull())
         return F.concat(pairs, long)
 
-    src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text))
+    src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
     keyed = cut(src).select("id", F.explode(_bound(F.col("_lines"), units)).alias("u")).select("id", "u.*")
     gone = _repeats(keyed, src, cut, lambda k: _unit(F.col("_lines"), k), work)
 
-    both = cut(docs.join(gone.withColumnRenamed("id", "_id"), F.col(id_col) == F.col("_id"), "left"))
-    own = F.transform(F.filter("gone", lambda g: F.coalesce(
-        g["h"] == F.unhex(F.md5(_unit(F.col("_lines"), g["k"]))), F.lit(False))), lambda g: g["k"])
-    both = both.withColumn("_gone", own)
-    linked = F.transform(F.filter("_gone", lambda k: k % 2 == 1), lambda k: F.shiftright(k, 1) + 1)
-    both = both.withColumn("_begins", F.array_sort(F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), linked)))
-
-    def kept(begin, j):
-        n = F.coalesce(F.get("_begins", j + 1), F.size("_lines")) - begin
-        words = F.aggregate(F.slice("_lines", begin + 1, n), F.lit(0), lambda a, l: a + word_count(l))
-        goes = F.when(n > 1, words >= least_words).otherwise(F.array_contains("_gone", 2 * begin))
-        return F.when(goes, F.array().cast("array<string>")).otherwise(F.slice("_lines", begin + 1, n))
-
-    both = both.withColumn("_left", F.when(F.col("gone").isNotNull(), F.flatten(F.transform("_begins", kept))))
-    removed = F.when(F.col("gone").isNull(), 0).otherwise(F.size("_lines") - F.size("_left"))
-    return both.select(
-        *[F.when(removed == 0, F.col(text)).otherwise(F.array_join("_left", "\n")).alias(text) if c == text else F.col(c)
-          for c in docs.columns],
-        F.size("_lines").alias("n_lines"), removed.alias("removed"))
+    # One expression, bound step by step: nothing in it can be inlined into its lambdas by
+    # a later filter, and each step is linear in the lines of the text but for one sort.
+    def runs(s):
+        n, own = F.size(s["l"]), s["own"]
+        linked = F.transform(F.filter(own, lambda k: k % 2 == 1), lambda k: F.shiftright(k, 1) + 1)
+        alone = F.transform(F.filter(own, lambda k: k % 2 == 0), lambda k: F.shiftright(k, 1))
+        return F.struct(s["l"].alias("l"), alone.alias("alone"), F.concat(_except(n, linked), F.array(n)).alias("begins"))
+
+    def leaving(s):
+        begins = s["begins"]
+
+        def one(i, j):
+            end = F.get(begins, j + 1)
+            words = F.aggregate(F.slice(s["l"], i + 1, end - i), F.lit(0), lambda a, l: a + word_count(l))
+            return F.when((end - i > 1) & (words >= least_words), F.sequence(i, end - 1)).otherwise(F.array().cast("array<int>"))
+
+        many = F.flatten(F.transform(F.slice(begins, 1, F.size(begins) - 1), one))
+        # A long line on its own: it begins a run and the next line begins another.
+        single = F.transform(F.array_intersect(F.transform(F.array_intersect(s["alone"], begins), lambda i: i + 1), begins), lambda i: i - 1)
+        return F.struct(s["l"].alias("l"), F.concat(many, single).alias("out"))
+
+    def cleaned(s):
+        left = F.transform(_except(F.size(s["l"]), s["out"]), lambda i: F.get(s["l"], i))
+        return F.struct(left.alias("left"), F.size(s["l"]).alias("n"), (F.size(s["l"]) - F.size(left)).alias("removed"))
+
+    def owned(s):
+        return F.struct(s["l"].alias("l"), _proven(s["gone"], lambda k: _unit(s["l"], k)).alias("own"))
+
+    lines = F.split(F.coalesce("t", F.lit("")), "\n")
+    steps = _bound(_bound(_bound(_bound(F.struct(lines.alias("l"), F.col("gone")), owned), runs), leaving), cleaned)
+    found = _bound(steps, lambda s: F.struct(F.when(s["removed"] == 0, F.col("t")).otherwise(F.array_join(s["left"], "\n")).alias("text"), s["n"].alias("n"), s["removed"].alias("removed")))
+    whole = F.struct(F.col("t").alias("text"), F.size(lines).alias("n"), F.lit(0).alias("removed"))
+    both = _beside(docs, gone, id_col, text).withColumn("x", F.when(F.col("gone").isNull(), whole).otherwise(found))
+    return _shown(docs, both, text, out)

@@ -240,7 +240,8 @@ def near_duplicates(
        confirmed on full sets.  So a large group of near copies is one component after
        about as many checks as it has members.
     4. Then members of different components meet within each list, lists of over ``block``
-       in pairs of blocks; agreement is counted over the whole signature.  Rows that have
+       in pairs of blocks (those of its largest component not with each other); agreement
+       is counted over the whole signature.  Rows that have
        a candidate are given their full sets, and the lists meet again to confirm.  What a
        task returns is its rows, or a spanning forest of its links, never pairs.
 
@@ -291,13 +292,21 @@ def near_duplicates(
     work.drop(stars, sets)
     label = work.store(components(links, work), "label")
 
-    # Lists whose members are all of one component are through.
+    # Lists whose members are all of one component are through.  In a longer list than a
+    # block, only members outside its largest component meet every block; those inside
+    # meet the blocks of the others, so a list costs its rows times the others' blocks.
     marked = posts.join(label, "id", "left").withColumn("c", F.coalesce("component", "id"))
-    mixed = marked.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
-    open_ = marked.join(mixed.select("t", "size"), "t")
-    nb = F.ceil(F.col("size") / block).cast("int")
-    own = F.when(F.col("size") <= block, F.lit(0)).otherwise(F.pmod(F.xxhash64("id"), nb)).cast("int")
-    open_ = open_.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), nb - 1)))
+    largest = F.max(F.struct("inside", "c")).alias("top")
+    mixed = (marked.groupBy("t", "c").agg(F.count("*").alias("inside"))
+             .groupBy("t").agg(largest, F.sum("inside").alias("size"), F.count("*").alias("parts")).where("parts > 1")
+             .select("t", "size", F.col("top.inside").alias("inside"), F.col("top.c").alias("main")))
+    open_ = marked.join(mixed, "t")
+    short, main = F.col("size") <= block, F.col("c") == F.col("main")
+    n_main, n_rest = (F.ceil(x / block).cast("int") for x in (F.col("inside"), F.col("size") - F.col("inside")))
+    own = F.when(short, 0).when(main, F.pmod(F.xxhash64("id"), n_main)).otherwise(n_main + F.pmod(F.xxhash64("id"), n_rest)).cast("int")
+    begin = F.when(short | ~main, 0).otherwise(n_main)
+    end = F.when(short, 0).otherwise(n_main + n_rest - 1)
+    open_ = open_.withColumn("own", own).withColumn("other", F.explode(F.sequence(begin, end)))
     open_ = open_.select(
         "t", F.least("own", "other").cast("long").alias("i"), F.greatest("own", "other").cast("long").alias("j"),
         "id", "c", "own", "n", "sketch", "low")

@@ -215,8 +215,13 @@ def toxicity(docs: DataFrame, model: ToxicityModel, cut: float = 0.3, id_col: st
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
-def marked(docs: DataFrame, model: ToxicityModel, cut: float = 0.3, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and ``toxic_score``: what a filter needs without a join."""
+def marked(docs: DataFrame, model: ToxicityModel, cut: float = 0.3, text: str = "text", out: str = "toxic_score") -> DataFrame:
+    """All columns of ``docs`` and the score ``out``: what a filter needs without a join.
+
+    Null and empty texts get the score of no words; repeated rows score alike; an empty table
+    stays empty; an input column named ``out`` is replaced.
+    """
+    docs = docs.drop(out)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
@@ -226,7 +231,7 @@ def marked(docs: DataFrame, model: ToxicityModel, cut: float = 0.3, text: str =
         for b in frames_of(batches):
             x = (pooled(b.column(at).to_pylist(), restorer, m.units) - m.middle) / m.scale
             p = 1 / (1 + np.exp(-np.clip(x @ m.beta[:-1] + m.beta[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, "toxic_score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(p)], names=[*b.schema.names, out])
 
-    schema = docs.withColumn("toxic_score", F.lit(0.0)).schema
+    schema = docs.withColumn(out, F.lit(0.0)).schema
     return docs.mapInArrow(tidy(run), schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -216,6 +217,55 @@ def test_passages_of_short_lines(spark, awkward, work):
     assert out.where("removed > 0").count() == 0 and linechunks.dedup_passages(awkward.limit(0), work).count() == 0
 
 
+def test_line_dedup_carries_clashing_names(spark, work):
+    block = "\n".join(" ".join(f"w{k}x{j}" for j in range(15)) for k in range(5))
+    rows = [(i, f"{block}\nown {i}", 1, 2, 3, 4, 5, 6.0) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, gone int, _id int, removed int, n_lines int, x int, toxic_score double")
+    for got in (corpus_pipeline.drop_repeated_lines(spark, docs, ""), linechunks.dedup_lines(docs, work, out=("n_", "r_"))):
+        got = {r["doc_id"]: r for r in got.collect()}
+        assert [got[0][c] for c in docs.columns[2:]] == [1, 2, 3, 4, 5, 6.0] and got[3]["text"].endswith("own 3") and len(got[3]["text"]) < 200
+    out = linechunks.dedup_passages(docs, work)
+    assert out.columns.count("removed") == 1 and out.where("removed = 5").count() == 3
+
+
+def test_the_line_stage_is_linear_in_lines(spark, work):
+    """A filter over the result must not bring back a step once per line."""
+    def seconds(n):
+        docs = docs_of(spark, ["\n".join(f"{i} line" for i in range(n))] * 40)
+        out = linechunks.dedup_passages(docs, work).where("removed > 0 and trim(text) = ''")
+        began = time.perf_counter()
+        assert out.count() == 39
+        return time.perf_counter() - began
+    seconds(50)
+    few, many = min(seconds(100) for _ in range(2)), min(seconds(400) for _ in range(2))
+    assert many < 4 * few + 0.5
+
+    docs = docs_of(spark, ["\n".join(f"{i} line of some words" for i in range(20_000))] * 3)
+    got = corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()
+    assert [r["doc_id"] for r in got] == [0]
+
+
+def test_a_list_of_one_large_component_copies_only_the_rest(spark, work):
+    rng = np.random.default_rng(8)
+    base = [f"w{k}" for k in range(80)]
+    texts = []
+    for _ in range(60):
+        own = list(base)
+        own[rng.integers(80)] = f"x{rng.integers(10**6)}"
+        texts.append(" ".join(own))
+    for _ in range(8):  # about 0.6 alike
+        own = list(base)
+        for k in rng.permutation(80)[:12]:
+            own[k] = f"y{rng.integers(10**6)}"
+        texts.append(" ".join(own))
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(spark, texts), work, width=2, block=5).collect()}
+    sets = [set(zip(t.split(), t.split()[1:])) for t in texts]
+    for i in range(60, 68):
+        alike = [j for j in range(68) if j != i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+        assert (got[i] == i) == (not alike or min(alike) > i)
+    assert {got[i] for i in range(60)} == {0}
+
+
 def test_licences_match_brute_force(spark, awkward):
     fill = " ".join(f"f{k}" for k in range(70))
     texts = [f"{fill} {t} {fill}" for t in licences.TEMPLATES.values()] + [fill, "MIT License"]
