@@ -25,33 +25,43 @@ def keep_known(facts: DataFrame, dim: DataFrame, columns: Sequence[str], key: st
     return facts
 
 
-def join_hourly(
-    facts: DataFrame,
+def days_of_readings(hourly: DataFrame, key: str = "weather_hour_key") -> DataFrame:
+    """``(place, day, readings)``: the hours of one place and day as one list.
+
+    A twenty-fourth of the rows of ``hourly``, so a join with it compares and ships fewer
+    keys, and more often fits a broadcast.  Readings are doubles by their short names.
+    """
+    reading = F.struct(
+        (F.col(key) % 100).alias("hour"),
+        *[F.col(v).cast("double").alias(suffix) for v, (suffix, _) in WEATHER.items()],
+    )
+    return hourly.groupBy(
+        F.col("iata").alias("place"), F.expr(f"{key} div 100").alias("day")
+    ).agg(F.collect_list(reading).alias("readings"))
+
+
+def readings_at_ends(
+    trips: DataFrame,
     hourly: DataFrame,
-    side: str,
+    ends: Sequence[str] = ("origin", "dest"),
     key: str = "weather_hour_key",
     fill: dict[str, float] = WEATHER_FILL,
 ) -> DataFrame:
-    """Weather of the airport in column ``side`` at the hour in ``key``.
+    """What was read at every end of a trip in the hour of ``key``, as ``{end}_{name}`` columns.
 
-    Adds ``{side}_{suffix}`` for each variable, with ``fill`` where the hour or the
-    value is unknown.  ``hourly`` has one row per (iata, weather_hour_key), so the
-    join never multiplies facts.
+    An hour or a value that is not known gives the ``fill`` of its name.
     """
-    right = hourly.select(
-        F.col("iata").alias("_place"),
-        F.col("weather_hour_key").alias("_hour"),
-        *[F.col(v).alias(f"_{suffix}") for v, (suffix, _) in WEATHER.items()],
-    )
-    joined = facts.join(
-        right, (F.col(side) == F.col("_place")) & (F.col(key) == F.col("_hour")), "left"
-    )
-    return joined.withColumns(
-        {
-            f"{side}_{suffix}": F.coalesce(F.col(f"_{suffix}").cast("double"), F.lit(fill[suffix]))
-            for suffix in fill
-        }
-    ).drop("_place", "_hour", *[f"_{s}" for s in fill])
+    days = days_of_readings(hourly, key)
+    for end in ends:
+        own = days.select(*[F.col(c).alias(f"_{end}_{c}") for c in days.columns])
+        same = (F.col(end) == F.col(f"_{end}_place")) & (F.expr(f"{key} div 100") == F.col(f"_{end}_day"))
+        trips = trips.join(own, same, "left").drop(f"_{end}_place", f"_{end}_day")
+    then = {
+        f"_{end}_now": F.get(F.filter(f"_{end}_readings", lambda r: r["hour"] == F.col(key) % 100), F.lit(0))
+        for end in ends
+    }
+    values = {f"{end}_{name}": F.coalesce(F.col(f"_{end}_now.{name}"), F.lit(value)) for end in ends for name, value in fill.items()}
+    return trips.withColumns(then).withColumns(values).drop(*then, *[f"_{end}_readings" for end in ends])
 
 
 def key_volume(facts: DataFrame, columns: Sequence[str], out: str = "flights") -> DataFrame:

@@ -17,6 +17,8 @@ HOLIDAYS = (1994, 2002)
 TRAIN = (1995, 1996, 1997, 1998, 1999)
 TEST = (2000, 2001)
 FIRST_DAY = "1995-01-01"
+# The day on which the forecasts of the tests are made.
+FORECAST_DAY = "2024-01-10"
 WEATHER_START = "2024-01-01"
 WEATHER_DAYS = 30
 
@@ -153,13 +155,16 @@ def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_flights(flights(spark, sf_dir))
 
 
-def weather_hour(day: str = "flight_date", hour: str = "dep_hour"):
+def folded_day(day: str = "flight_date"):
     """Flights span years and readings one month: days are folded onto that month."""
-    folded = F.date_add(
+    return F.date_add(
         F.to_date(F.lit(WEATHER_START)),
         F.pmod(F.datediff(F.col(day), F.to_date(F.lit(FIRST_DAY))), F.lit(WEATHER_DAYS)),
     )
-    return hour_key(folded, F.col(hour))
+
+
+def weather_hour(day: str = "flight_date", hour: str = "dep_hour"):
+    return hour_key(folded_day(day), F.col(hour))
 
 
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:

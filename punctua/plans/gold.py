@@ -10,7 +10,7 @@ from punctua.contract import BANNED_RAW, GOLD_COLUMNS, HISTORY, WEATHER_FILL
 from punctua.functions.text import snake_name
 from punctua.functions.timeparts import hour_key_of
 from punctua.operators.history import with_history
-from punctua.operators.joins import join_hourly
+from punctua.operators.joins import readings_at_ends
 
 
 HISTORY_COLUMNS = tuple(HISTORY)
@@ -31,8 +31,7 @@ def gold_features(
     """
     key = hour_key_of(F.col("flight_ts")) if hour is None else hour
     rows = with_history(flights, prior_years=prior_years).withColumn("weather_hour_key", key)
-    for side in ("origin", "dest"):
-        rows = join_hourly(rows, weather, side, fill=fill)
+    rows = readings_at_ends(rows, weather, fill=fill)
     return assert_contract(rows.select(*GOLD_COLUMNS), GOLD_COLUMNS)
 
 

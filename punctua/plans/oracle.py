@@ -529,17 +529,15 @@ _BASE = f""",
 base_rates AS (SELECT origin, dest, {_RATE} AS base_rate, count(dep_del15) AS n FROM flights
                WHERE {_TRAIN} GROUP BY ALL HAVING count(dep_del15) >= {{least}})"""
 _ROUND_TRIP = _MILES.format(x="a.", y="b.")
-ORACLE["serve_features"] = (
-    "WITH "
-    + _FLIGHTS
-    + _MARTS
-    + _BASE.format(least=30)
-    + ","
-    + _WEATHER
-    + f""",
+def _serve(rates: dict[str, str], joins: str, *more: str) -> str:
+    """Requests with their features; ``rates`` are expressions over the tables of ``joins``."""
+    return (
+        "WITH "
+        + ",".join([_FLIGHTS + _MARTS + _BASE.format(least=30), _WEATHER, *more])
+        + f""",
 medians AS (SELECT origin, dest, round(median(distance), 6) AS d,
                    round(median(crs_elapsed_time), 6) AS e
-            FROM flights WHERE year < 1998 GROUP BY ALL),
+            FROM flights GROUP BY ALL),
 asked AS (
   SELECT o_orderkey AS request_id, coalesce(so.n_name, 'NOWHERE') AS origin, cn.n_name AS dest,
          o_orderpriority AS carrier, CAST(o_orderdate AS DATE) AS flight_date,
@@ -550,15 +548,13 @@ asked AS (
 known AS (
   SELECT q.*, coalesce(m.d, round({_ROUND_TRIP}, 0), 800) AS distance, m.e,
          coalesce(base_rate, {_PRIOR_TRAIN}) AS baseline_probability,
-         coalesce(round(r.delay_rate, 6), base_rate, {_PRIOR_TRAIN}) AS route_hist_delay_rate,
-         coalesce(round(o.overall_delay_rate, 6), {_PRIOR_TRAIN}) AS origin_hist_delay_rate,
-         coalesce(round(c.delay_rate, 6), {_PRIOR_TRAIN}) AS carrier_hist_delay_rate
+         coalesce({rates["route"]}, base_rate, {_PRIOR_TRAIN}) AS route_hist_delay_rate,
+         coalesce({rates["origin"]}, {_PRIOR_TRAIN}) AS origin_hist_delay_rate,
+         coalesce({rates["carrier"]}, {_PRIOR_TRAIN}) AS carrier_hist_delay_rate
   FROM asked q
   LEFT JOIN medians m ON q.origin = m.origin AND q.dest = m.dest
   LEFT JOIN base_rates br ON q.origin = br.origin AND q.dest = br.dest
-  LEFT JOIN routes r ON q.origin = r.origin AND q.dest = r.dest
-  LEFT JOIN origins o ON q.origin = o.origin
-  LEFT JOIN carriers c ON q.carrier = c.carrier
+  {joins}
   LEFT JOIN airports a ON q.origin = a.iata
   LEFT JOIN airports b ON q.dest = b.iata
 ),
@@ -575,8 +571,39 @@ served AS (
          baseline_probability
   FROM {_FOLD.format(rows="known")} f {_WEATHER_JOINS}
 )
-SELECT *, round(origin_temp_2m, 1) AS temp_c, round(dest_precip, 2) AS precip_mm FROM served"""
-)
+"""
+    )
+
+
+_MART_RATES = {"route": "round(r.delay_rate, 6)", "origin": "round(o.overall_delay_rate, 6)", "carrier": "round(c.delay_rate, 6)"}
+_MART_JOINS = """LEFT JOIN routes r ON q.origin = r.origin AND q.dest = r.dest
+  LEFT JOIN origins o ON q.origin = o.origin
+  LEFT JOIN carriers c ON q.carrier = c.carrier"""
+ORACLE["serve_features"] = _serve(_MART_RATES, _MART_JOINS) + "SELECT *, round(origin_temp_2m, 1) AS temp_c, round(dest_precip, 2) AS precip_mm FROM served"
+
+
+def _running(name: str, keys: str) -> str:
+    return f"""
+{name} AS (
+  SELECT {keys}, flight_date, CAST(sum(s) OVER w AS DOUBLE) / sum(c) OVER w AS rate
+  FROM (SELECT {keys}, flight_date, sum(dep_del15) AS s, count(*) AS c FROM flights GROUP BY ALL)
+  WINDOW w AS (PARTITION BY {keys} ORDER BY flight_date))"""
+
+
+ORACLE["serve_features_as_of"] = _serve(
+    {"route": "r.rate", "origin": "o.rate", "carrier": "c.rate"},
+    """ASOF LEFT JOIN upto_route r ON q.origin = r.origin AND q.dest = r.dest AND q.flight_date > r.flight_date
+  ASOF LEFT JOIN upto_origin o ON q.origin = o.origin AND q.flight_date > o.flight_date
+  ASOF LEFT JOIN upto_carrier c ON q.carrier = c.carrier AND q.flight_date > c.flight_date""",
+    _running("upto_route", "origin, dest"),
+    _running("upto_origin", "origin"),
+    _running("upto_carrier", "carrier"),
+) + "SELECT * FROM served"
+ORACLE["serve_features_horizon"] = _serve(_MART_RATES, _MART_JOINS) + f"""
+SELECT request_id, wo.iata IS NOT NULL OR wd.iata IS NOT NULL AS weather_ok, {_weather_columns({**WEATHER_FILL, "wind_speed": 8.0})}
+FROM {_FOLD.format(rows="known")} f
+LEFT JOIN weather wo ON wo.iata = f.origin AND wo.hour_key = {_HOURS} AND folded BETWEEN DATE '2024-01-10' AND DATE '2024-01-26'
+LEFT JOIN weather wd ON wd.iata = f.dest AND wd.hour_key = {_HOURS} AND folded BETWEEN DATE '2024-01-10' AND DATE '2024-01-26'"""
 
 # --- learning and evaluation --------------------------------------------------------------------------
 

@@ -544,26 +544,47 @@ def route_medians(spark, d):
     return out.withColumns({c: scores.round6(F.col(c)) for c in out.columns if "median" in c})
 
 
-def _served(spark, d) -> DataFrame:
+def _served(spark, d, as_of: bool = False, weather: bool = True) -> DataFrame:
     flights = t.stored_flights(spark, d)
-    totals = stored(marts.mart_totals(staged_flights(flights), ["origin", "dest", "carrier"]))
     train, _ = slices.temporal_split(flights, t.TRAIN, t.TEST)
-    early = flights.where(F.col("year") < 1998)
+    made = (None, None, None)
+    if not as_of:
+        totals = stored(marts.mart_totals(staged_flights(flights), ["origin", "dest", "carrier"]))
+        made = (marts.route_reliability(totals), marts.airport_reliability(totals), marts.carrier_reliability(totals))
     return serving.request_features(
         t.requests(spark, d),
         t.airports(spark, d),
-        medians.exact_medians(early, ["origin", "dest"], ["distance", "crs_elapsed_time"]),
-        marts.route_reliability(totals),
-        marts.airport_reliability(totals),
-        marts.carrier_reliability(totals),
+        medians.exact_medians(flights, ["origin", "dest"], ["distance", "crs_elapsed_time"]),
+        *made,
         history.fit_base_rates(train),
         history.mean_label(train),
-        t.weather(spark, d),
+        t.weather(spark, d) if weather else None,
         t.HOLIDAYS,
         hour=t.weather_hour(),
+        as_of=history.entity_days(flights) if as_of else None,
     )
 
 
+@query
+def serve_features_as_of(spark, d):
+    """Requests by the rates known before their own dates, which lie among the flights'."""
+    return _served(spark, d, as_of=True)
+
+
+@query
+def serve_features_horizon(spark, d):
+    """Requests of folded days against forecasts made on one day, a document per airport."""
+    hour = F.col("weather_ts")
+    series = F.struct(F.date_format(hour, "yyyy-MM-dd'T'HH:mm").alias("time"), *documents.WEATHER_VARS)
+    hours = F.array_sort(F.collect_list(series))
+    docs = t.weather(spark, d).groupBy("iata").agg(hours.alias("h")).select(
+        "iata",
+        F.to_json(F.struct(F.struct(*[F.col(f"h.{c}").alias(c) for c in ("time", *documents.WEATHER_VARS)]).alias("hourly"))).alias("doc"))
+    rows = serving.forecast_features(
+        _served(spark, d, weather=False), documents.forecast_of(docs), F.to_date(F.lit(t.FORECAST_DAY)), day=t.folded_day())
+    return rows.select("request_id", "weather_ok", *[f"{end}_{n}" for end in ("origin", "dest") for n in WEATHER_FILL])
+
+
 @query
 def serve_features(spark, d):
     rows = serving.weather_summary(_served(spark, d))
@@ -595,17 +616,16 @@ def hist_features_train_prior(spark, d):
 
 @query
 def prior_rate_route(spark, d):
-    keys = ["origin", "dest"]
-    daily = history.daily_totals(t.flights(spark, d), keys)
-    return history.prior_rate(daily, keys, "prior_rate", history.overall_rate(daily))
+    route = {"prior_rate": ("origin", "dest")}
+    totals = history.entity_days(t.flights(spark, d), route)
+    own = history.of_entity(totals, route, route["prior_rate"])
+    return history.prior_rate(own, route["prior_rate"], "prior_rate", history.prior_of(totals, route))
 
 
 @query
 def weather_join(spark, d):
     rows = t.flights(spark, d).withColumn("weather_hour_key", t.weather_hour())
-    hours = t.weather(spark, d)
-    for side in ("origin", "dest"):
-        rows = joins.join_hourly(rows, hours, side)
+    rows = joins.readings_at_ends(rows, t.weather(spark, d))
     return rows.select(
         FLIGHT, *[f"{side}_{s}" for side in ("origin", "dest") for s in WEATHER_FILL]
     )

@@ -11,21 +11,25 @@ from punctua.contract import (
     CARRIER_NAMES,
     DEFAULT_DISTANCE_MILES,
     FEATURES,
+    FORECAST_HORIZON_DAYS,
     FRESH_SECONDS,
     HOLIDAY_YEARS,
     PRESET_CARRIER,
     PRESET_HOUR,
     PRESET_WEEKDAY,
     REQUEST_WEATHER_FILL,
+    WEATHER,
 )
 from punctua.functions.geo import haversine_miles
 from punctua.functions.holidays import holiday_flag
 from punctua.functions.scores import elapsed_estimate, round6
 from punctua.functions.text import request_code
 from punctua.functions.timeparts import day_part, hour_key, iso_weekday
-from punctua.operators.joins import join_hourly, named
+from punctua.operators.history import rates_as_of
+from punctua.operators.joins import named, readings_at_ends
 from punctua.operators.keyed import first_by_key
 from punctua.operators.ranking import top_rows
+from punctua.sources.documents import forecast_at, forecast_in_reach
 
 
 def carrier_names(spark: SparkSession) -> DataFrame:
@@ -145,47 +149,56 @@ def request_features(
     requests: DataFrame,
     dim: DataFrame,
     medians: DataFrame,
-    routes: DataFrame,
-    airports: DataFrame,
-    carriers: DataFrame,
+    routes: DataFrame | None,
+    airports: DataFrame | None,
+    carriers: DataFrame | None,
     base_rates: DataFrame,
     prior: Column,
-    weather: DataFrame,
+    weather: DataFrame | None,
     holiday_years: tuple[int, int] = HOLIDAY_YEARS,
     hour: Column | None = None,
+    as_of: DataFrame | None = None,
 ) -> DataFrame:
     """All model features for a table of requested flights.
 
     Requests have (request_id, origin, dest, carrier, flight_date, dep_hour).  A route
     without history falls back to the great-circle distance and then to a fixed one;
     rates fall back from the mart to the training base rate to the overall rate.
+
+    With ``as_of``, the daily totals of ``history.entity_days``, the rates are those of the days
+    before each request's own date instead of the marts', as the training rows have them, so
+    that back-dated requests can be scored without looking ahead; the three marts may be None.
+    Without ``weather`` every end has the default weather.
     """
     asked = requests.withColumns(
         {c: request_code(F.col(c)) for c in ("origin", "dest", "carrier")}
     )
+    if as_of is not None:
+        asked = rates_as_of(asked, as_of).withColumnsRenamed(
+            {f"{e}_hist_delay_rate": f"_{e}" for e in ("route", "origin", "carrier")}
+        )
     # What is known per route and per origin is put together first: these tables have a
     # row per route or airport, so the requests are joined with each kind only once.
-    per_route = (
-        routes.select("origin", "dest", round6(F.col("delay_rate")).alias("_route"))
-        .join(medians, ["origin", "dest"], "full")
-        .join(base_rates.select("origin", "dest", "base_rate"), ["origin", "dest"], "full")
-    )
-    rate = round6(F.col("overall_delay_rate")).alias("_origin")
+    per_route = medians.join(base_rates.select("origin", "dest", "base_rate"), ["origin", "dest"], "full")
     spot = dim.select(
         F.col("iata").alias("origin"),
         F.col("lat").alias("_origin_lat"),
         F.col("lon").alias("_origin_lon"),
     )
-    per_origin = airports.select("origin", rate).join(spot, "origin", "full")
+    per_origin = spot
+    if as_of is None:
+        mean = round6(F.col("delay_rate"))
+        per_route = per_route.join(routes.select("origin", "dest", mean.alias("_route")), ["origin", "dest"], "full")
+        overall = round6(F.col("overall_delay_rate")).alias("_origin")
+        per_origin = airports.select("origin", overall).join(spot, "origin", "full")
+        asked = asked.join(carriers.select("carrier", mean.alias("_carrier")), "carrier", "left")
     per_dest = dim.select(
         F.col("iata").alias("dest"), F.col("lat").alias("_dest_lat"), F.col("lon").alias("_dest_lon")
     )
-    per_carrier = carriers.select("carrier", round6(F.col("delay_rate")).alias("_carrier"))
     rows = (
         asked.join(per_route, ["origin", "dest"], "left")
         .join(per_origin, "origin", "left")
         .join(per_dest, "dest", "left")
-        .join(per_carrier, "carrier", "left")
         .withColumn("baseline_probability", F.coalesce(F.col("base_rate"), prior))
     )
     great_circle = F.round(
@@ -215,11 +228,44 @@ def request_features(
             "weather_hour_key": hour_key(day, at) if hour is None else hour,
         }
     )
-    for side in ("origin", "dest"):
-        rows = join_hourly(rows, weather, side, fill=REQUEST_WEATHER_FILL)
+    if weather is None:
+        rows = rows.withColumns({f"{end}_{n}": F.lit(v) for end in ("origin", "dest") for n, v in REQUEST_WEATHER_FILL.items()})
+    else:
+        rows = readings_at_ends(rows, weather, fill=REQUEST_WEATHER_FILL)
     return rows.select("request_id", "flight_date", *FEATURES, "baseline_probability")
 
 
+def forecast_features(
+    features: DataFrame,
+    forecasts: DataFrame,
+    today: Column,
+    day: Column | None = None,
+    horizon: int = FORECAST_HORIZON_DAYS,
+    fill: dict[str, float] = REQUEST_WEATHER_FILL,
+) -> DataFrame:
+    """``features`` with the weather forecast at both ends, and ``weather_ok``.
+
+    ``forecasts`` has one (iata, forecast) per airport (``documents.forecast_of``).  A day
+    before ``today`` or more than ``horizon`` days after it has no forecast; there, and where
+    hour or value are missing, the fill stays.  ``weather_ok`` says whether either end has any
+    forecast value.  The documents are one row per airport, and a request takes one hour out
+    of their arrays in place.
+    """
+    at = F.col("flight_date") if day is None else day
+    rows = features
+    for end in ("origin", "dest"):
+        own = forecasts.select(F.col("iata").alias(f"_{end}_at"), F.col("forecast").alias(f"_{end}_doc"))
+        rows = rows.join(own, F.col(end) == F.col(f"_{end}_at"), "left").drop(f"_{end}_at")
+    names = {v: suffix for v, (suffix, _) in WEATHER.items()}
+    found = {
+        f"_{end}": F.when(forecast_in_reach(at, today, horizon), forecast_at(F.col(f"_{end}_doc"), at, F.col("dep_hour").cast("int"), names))
+        for end in ("origin", "dest")
+    }
+    known = [F.coalesce(*[F.col(f"_{end}.{n}") for n in fill]).isNotNull() for end in ("origin", "dest")]
+    values = {f"{end}_{n}": F.coalesce(F.col(f"_{end}.{n}"), F.lit(v)) for end in ("origin", "dest") for n, v in fill.items()}
+    return rows.withColumns(found).withColumns({**values, "weather_ok": known[0] | known[1]}).drop(*found, "_origin_doc", "_dest_doc")
+
+
 def weather_summary(features: DataFrame) -> DataFrame:
     """Rounded weather of both ends of the flight as one struct."""
     def end(side: str) -> Column:

@@ -104,3 +104,21 @@ def snapshot_payload(
 def forecast_in_reach(day: Column, today: Column, horizon: int) -> Column:
     """Whether a forecast exists for ``day``: not past and not beyond the horizon."""
     return F.datediff(day, today).between(0, horizon)
+
+
+def forecast_of(docs: DataFrame, doc: str = "doc", keys: tuple[str, ...] = ("iata",)) -> DataFrame:
+    """``(*keys, forecast)``: each document's parallel arrays, read once; null if unreadable."""
+    return docs.select(*keys, F.from_json(doc, HOURLY_SCHEMA)["hourly"].alias("forecast"))
+
+
+def forecast_at(forecast: Column, day: Column, hour: Column, names: dict[str, str]) -> Column:
+    """One hour of parallel arrays as a struct, by its place in the list of times.
+
+    ``names`` maps variables to the fields of the result.  Nothing is exploded: a row carries
+    its document's arrays and takes one element of each.  Null if the hour is not listed;
+    short or missing series give nulls.
+    """
+    wanted = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
+    place = F.array_position(F.transform(forecast["time"], lambda t: F.left(t, F.lit(16))), wanted)
+    values = [F.get(forecast[v], place.cast("int") - 1).alias(name) for v, name in names.items()]
+    return F.when(place > 0, F.struct(*values))
