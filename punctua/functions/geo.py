@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.contract import US_BOX
 
@@ -20,6 +22,27 @@ def cell(degrees: Column, size: float) -> Column:
     return F.floor(degrees / F.lit(size)) * F.lit(size)
 
 
+@dataclass(frozen=True)
+class Grid:
+    """Square cells of ``degrees`` on a side; with a box, only what lies inside it has a cell."""
+
+    degrees: float
+    box: tuple | None = None
+
+    def index(self, c: Column) -> Column:
+        return F.floor(c / F.lit(self.degrees))
+
+    def around(self, c: Column) -> Column:
+        """One row for the cell of ``c`` and for each of its two neighbours on this axis."""
+        return F.explode(F.sequence(self.index(c) - 1, self.index(c) + 1))
+
+    def put(self, rows: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
+        """``rows`` that have a cell, with its lower edges as ``cell_lat`` and ``cell_lon``."""
+        edges = {f"cell_{axis}": cell(F.col(c), self.degrees) for axis, c in (("lat", lat), ("lon", lon))}
+        placed = rows.withColumns(edges)
+        return placed.where(in_box(F.col(lat), F.col(lon), self.box)) if self.box else placed
+
+
 def haversine_miles(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
     dlat = F.radians(lat2 - lat1) / 2
     dlon = F.radians(lon2 - lon1) / 2

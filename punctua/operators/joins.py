@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.contract import NEARBY_DEGREES, WEATHER, WEATHER_FILL
-from punctua.functions.geo import congestion_level
+from punctua.functions.geo import Grid, congestion_level
 
 
 def keep_known(facts: DataFrame, dim: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -110,21 +110,16 @@ def nearby_counts(
     runs on the pairs that share a cell.  Counting starts before the shuffle of the
     result, and places without any position stay with zero.
     """
-    def line(c: Column) -> Column:
-        return F.floor(c / F.lit(radius * 1.001))
-
-    def around(c: Column) -> Column:
-        return F.explode(F.sequence(line(c) - 1, line(c) + 1))
-
+    grid = Grid(radius * 1.001)
     spread = places.select(
         F.col(key),
         F.col("lat").alias("_lat"),
         F.col("lon").alias("_lon"),
-        around(F.col("lat")).alias("_row"),
+        grid.around(F.col("lat")).alias("_row"),
         F.col("lon"),
-    ).select(key, "_lat", "_lon", "_row", around(F.col("lon")).alias("_col"))
+    ).select(key, "_lat", "_lon", "_row", grid.around(F.col("lon")).alias("_col"))
     points = positions.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
-        "lat", "lon", line(F.col("lat")).alias("_row"), line(F.col("lon")).alias("_col")
+        "lat", "lon", grid.index(F.col("lat")).alias("_row"), grid.index(F.col("lon")).alias("_col")
     )
     hits = points.join(spread, ["_row", "_col"]).where(
         (F.abs(F.col("lat") - F.col("_lat")) <= radius)

@@ -322,6 +322,14 @@ ORACLE["latest_per_key"] = _positions(
 FROM (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY event_ts DESC, event_id DESC) AS rn
       FROM positions) WHERE rn = 1"""
 )
+ORACLE["latest_with_ttls"] = _positions(
+    """SELECT event_id, icao24, lat, lon, altitude, velocity, heading, on_ground, event_ts,
+       CASE WHEN last - event_ts < 300 THEN 'live' ELSE 'cached' END AS source,
+       event_ts + CASE WHEN last - event_ts < 300 THEN 300 ELSE 86400 END AS expires_at
+FROM (SELECT *, row_number() OVER (PARTITION BY icao24 ORDER BY event_ts DESC, event_id DESC) AS rn,
+             max(event_ts) OVER () AS last FROM positions)
+WHERE rn = 1 AND last - event_ts < 86400"""
+)
 ORACLE["positions_fallback"] = _positions(
     f"""SELECT feed, tier, as_of, n AS count,
        CASE WHEN tier = 3 THEN 0 ELSE greatest(0, {NOW} - as_of) END AS stale_seconds,

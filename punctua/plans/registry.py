@@ -6,6 +6,7 @@ flattened here, and only here, so that another engine can compute the same rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -21,8 +22,9 @@ from punctua.functions import geo, holidays, scores, timeparts
 from punctua.operators import history, joins, keyed, medians, metrics, quality, slices
 from punctua.plans import driver_tables as t, gold, learn, marts, serving
 from punctua.plans.silver import staged_flights
-from punctua.session import stored
+from punctua.session import checkpoint_dir, stored
 from punctua.sources import airports as airport_source, documents, maintain, tables
+from punctua.streaming import latest
 from punctua.streaming.congestion import Windows, as_messages, congestion, parse_messages, positions_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -381,6 +383,21 @@ def latest_per_key(spark, d):
     return keyed.latest_by_key(rows, ["icao24"], ["event_ts", "event_id"])
 
 
+@query
+def latest_with_ttls(spark, d):
+    """Positions committed in four batches of two runs, with a compaction in between, then told by age."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/latest/{uuid.uuid4().hex}"
+    rows = t.positions(spark, d).drop("callsign")
+    order = ["event_ts", "event_id"]
+    for n in range(4):
+        part = rows.where(F.pmod(F.col("event_id"), F.lit(4)) == n)
+        latest.store_batch(part, n % 2, path, "icao24", order, run=f"run{n // 2}")
+        if n == 2:
+            latest.compact(spark, path, "icao24", order)
+    now = rows.agg(F.max("event_ts")).scalar()
+    return latest.with_ttls(latest.read_latest(spark, path, "icao24", order), now)
+
+
 @query
 def positions_fallback(spark, d):
     """Snapshots of each sender in three tiers with their times to live."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,6 +73,31 @@ def to_memory(
     return _trigger(writer, available_now, None).start()
 
 
+def start_congestion(
+    messages: DataFrame,
+    output: str,
+    checkpoints: str,
+    windows: Windows = Windows(),
+    send: Callable[[DataFrame, str], StreamingQuery] | None = None,
+    available_now: bool = False,
+    every: str | None = None,
+) -> list[StreamingQuery]:
+    """Several outputs of one stream of ``key``/``value`` messages, from whatever source.
+
+    Windows and rejects go to files, keyed messages to ``send(messages, checkpoint)`` if given.
+    Each query reads the source by itself and has a checkpoint of its own, so each resumes
+    where it stopped, whatever became of the others.
+    """
+    parsed = parse_messages(messages)
+    cells = congestion(positions_of(parsed), windows)
+    outputs = [("congestion", cells), ("rejected", rejected(parsed))]
+    started = [
+        to_parquet(rows, f"{output}/{name}", f"{checkpoints}/{name}", name, available_now, every)
+        for name, rows in outputs
+    ]
+    return started + ([send(as_messages(cells), f"{checkpoints}/sent")] if send else [])
+
+
 def run_congestion(
     spark: SparkSession,
     servers: str,
@@ -82,23 +109,9 @@ def run_congestion(
     starting: str = "latest",
     every: str | None = None,
 ) -> list[StreamingQuery]:
-    """The long-running job: topic in, parquet and rejects out, optionally a topic too.
+    """The long-running job between topics; wait with ``spark.streams.awaitAnyTermination()``."""
+    def send(messages: DataFrame, checkpoint: str) -> StreamingQuery:
+        return write_kafka(messages, servers, out_topic, checkpoint, "congestion_topic")
 
-    Returns the started queries; the caller waits with
-    ``spark.streams.awaitAnyTermination()``.
-    """
-    parsed = parse_messages(read_kafka(spark, servers, topic, starting))
-    rows = congestion(positions_of(parsed), windows)
-    queries = [
-        to_parquet(rows, f"{output}/congestion", f"{checkpoints}/parquet", "congestion", every=every),
-        to_parquet(
-            rejected(parsed), f"{output}/rejected", f"{checkpoints}/rejected", "rejected", every=every
-        ),
-    ]
-    if out_topic:
-        queries.append(
-            write_kafka(
-                as_messages(rows), servers, out_topic, f"{checkpoints}/kafka", "congestion_topic"
-            )
-        )
-    return queries
+    source = read_kafka(spark, servers, topic, starting)
+    return start_congestion(source, output, checkpoints, windows, send if out_topic else None, every=every)
