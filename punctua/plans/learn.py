@@ -56,7 +56,7 @@ class Boosting:
     row_share: float = 0.85
     feature_share: str = "0.85"
     min_gain: float = 0.0
-    tolerance: float = 0.0001
+    patience: int = 50
     seed: int = 17
 
 
@@ -138,14 +138,15 @@ def train_model(
         F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(1.0).alias("_w"),
         (F.col("slice") == "valid").alias("_valid"),
     )
-    encoded = assembler.transform(codes.transform(prepared(rows)))
+    # Every round reads the rows: they are encoded once and stored.
+    encoded = cut(
+        assembler.transform(codes.transform(prepared(rows))).select("features", "_y", "_w", "_valid")
+    )
     booster = GBTClassifier(
         labelCol="_y",
         weightCol="_w",
         featuresCol="features",
         predictionCol="_cls",
-        validationIndicatorCol="_valid",
-        maxIter=boosting.rounds,
         stepSize=boosting.learning_rate,
         maxDepth=boosting.max_depth,
         maxBins=max(32, widest),
@@ -153,14 +154,64 @@ def train_model(
         minInfoGain=boosting.min_gain,
         subsamplingRate=boosting.row_share,
         featureSubsetStrategy=boosting.feature_share,
-        validationTol=boosting.tolerance,
         seed=boosting.seed,
     )
     booster.setProbabilityCol("_p").setRawPredictionCol("_margin")
-    trees = booster.fit(encoded.select("features", "_y", "_w", "_valid"))
+    trees = fit_patiently(booster, encoded.where(~F.col("_valid")), encoded.where("_valid"), boosting)
     return PipelineModel([codes, assembler, trees])
 
 
+def fit_patiently(
+    booster: GBTClassifier, fit: DataFrame, valid: DataFrame, boosting: Boosting
+) -> GBTClassificationModel:
+    """The trees up to the round of least validation loss, once no better one has come for ``patience`` rounds.
+
+    A forest of fewer rounds is the beginning of one of more, as the seed fixes each round.  So
+    it is grown to twice its length until the best round lies ``patience`` rounds back or all
+    rounds are used: at most about twice the rounds that are looked at.  Without validation
+    rows all rounds are kept.
+    """
+    rounds = min(boosting.rounds, 2 * boosting.patience)
+    some = not valid.isEmpty()
+    while True:
+        model = booster.copy({booster.maxIter: rounds}).fit(fit)
+        if not some:
+            return model
+        loss = model.evaluateEachIteration(valid)
+        best, stop = best_round(loss, boosting.patience)
+        if stop or rounds >= boosting.rounds:
+            return first_rounds(model, best)
+        rounds = min(boosting.rounds, 2 * rounds)
+
+
+def best_round(loss: Sequence[float], patience: int) -> tuple[int, bool]:
+    """The round (from 1) of least loss before ``patience`` rounds without a better one, and whether these came."""
+    best = 0
+    for n, x in enumerate(loss):
+        if x < loss[best]:
+            best = n
+        elif n - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """``model`` without the trees after ``rounds``."""
+    if rounds >= model.getNumTrees:
+        return model
+    inner, jvm = model._java_obj, SparkSession.active()._jvm
+    tree = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
+    gateway = SparkSession.active().sparkContext._gateway
+    trees, weights = gateway.new_array(tree, rounds), gateway.new_array(jvm.double, rounds)
+    for n in range(rounds):
+        trees[n], weights[n] = inner.trees()[n], float(model.treeWeights[n])
+    short = jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
+    for param in inner.params():
+        if inner.isDefined(param):
+            short.set(param, inner.getOrDefault(param))
+    return GBTClassificationModel(short)
+
+
 def raw_scores(pipeline: PipelineModel, rows: DataFrame, out: str = "raw_probability") -> DataFrame:
     """Uncalibrated probability; the feature vector stays for the explanation."""
     scored = pipeline.transform(prepared(rows)).withColumn(out, vector_to_array("_p")[1])
@@ -236,6 +287,7 @@ def train_bundle(
         {
             "calib_brier_before": F.lit(calibrator.brier_before),
             "calib_brier_after": F.lit(calibrator.brier_after),
+            "rounds_used": F.lit(pipeline.stages[-1].getNumTrees),
         }
     )
     return bundle, metrics

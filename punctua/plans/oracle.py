@@ -143,11 +143,10 @@ SELECT iata, weather_ts, temp_2m AS temperature_2m, precip AS precipitation,
        wind_speed AS wind_speed_10m, wind_gusts AS wind_gusts_10m, snowfall,
        hour_key AS weather_hour_key FROM weather"""
 )
-ORACLE["valid_airports_semi"] = _flights(
-    f"""SELECT {FLIGHT}, origin, dest FROM bronze
-WHERE origin IN (SELECT iata FROM airports WHERE city <> 'AFRICA')
-  AND dest IN (SELECT iata FROM airports WHERE city <> 'AFRICA')"""
-)
+ORACLE["valid_airports_semi"] = """
+SELECT o_orderkey AS request_id, so.n_name AS origin, cn.n_name AS dest
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation cn ON c_nationkey = cn.n_nationkey
+JOIN nation so ON o_orderkey % 27 = so.n_nationkey"""
 ORACLE["enforce_schema"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
        CASE WHEN l_linenumber <> 1 THEN CAST(l_quantity AS BIGINT) END AS distance,
@@ -160,15 +159,14 @@ FROM supplier
 UNION ALL
 SELECT c_custkey, c_name, NULL, c_mktsegment FROM customer"""
 ORACLE["pending_partitions"] = _flights(
-    """SELECT DISTINCT n_name AS iata, CAST(year(o_orderdate) AS INTEGER) AS year,
-       CAST(month(o_orderdate) AS INTEGER) AS month
+    """SELECT DISTINCT n_name AS iata, CAST(o_orderdate AS DATE) AS flight_date
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 EXCEPT
-SELECT origin, year, month FROM flights WHERE dep_hour = 7"""
+SELECT origin, flight_date FROM flights"""
 )
 ORACLE["dim_patch"] = _flights(
-    """SELECT iata, CASE WHEN city = 'ASIA' THEN 'Patched ' || iata ELSE name END AS name, lat, lon
-FROM airports"""
+    """SELECT iata, name, lat, lon FROM airports
+UNION ALL SELECT 'X ' || iata, 'Patched X ' || iata, lat, lon FROM airports"""
 )
 
 # --- scalar functions ----------------------------------------------------------------------
@@ -391,8 +389,8 @@ ORDER BY delay_rate DESC, origin, dest LIMIT 10"""
 # --- serving -------------------------------------------------------------------------------------------
 
 ORACLE["carrier_options"] = _marts(
-    """SELECT carrier AS code, CASE WHEN carrier < '3'
-         THEN substr(carrier, 1, 1) || '-' || lower(substr(carrier, 3)) ELSE carrier END AS name
+    """SELECT carrier AS code, CASE WHEN carrier = '4-NOT SPECIFIED' THEN '4-not Specified'
+         ELSE substr(carrier, 1, 1) || '-' || lower(substr(carrier, 3)) END AS name
 FROM carriers"""
 )
 ORACLE["example_presets"] = _marts(
@@ -454,7 +452,7 @@ ORACLE["airports_in_use"] = _flights(
     """SELECT iata, name, count(*) AS flights
 FROM airports JOIN (SELECT origin AS code FROM flights UNION ALL SELECT dest FROM flights)
   ON iata = code
-WHERE city <> 'EUROPE' GROUP BY iata, name ORDER BY flights DESC, iata LIMIT 12"""
+GROUP BY iata, name ORDER BY flights DESC, iata LIMIT 12"""
 )
 ORACLE["route_medians"] = _flights(
     """SELECT origin, dest, round(median(distance), 6) AS median_distance,
@@ -734,6 +732,8 @@ SELECT n_test, round(rate, 9) AS test_positive_rate, round(mr, 9) AS model_roc_a
        mr > cr AND mp > cp AS beats_baseline
 FROM wide"""
 )
+ORACLE["training_facts"] = f"""SELECT n_test, test_positive_rate, baseline_roc_auc, baseline_pr_auc, baseline_brier,
+       true AS calibrated_not_worse, true AS has_rounds FROM ({ORACLE["evaluation"]})"""
 ORACLE["gate"] = (
     _RANKS
     + """,
@@ -752,10 +752,10 @@ _CHECKED = f""",
 checked AS (
   SELECT {FLIGHT}, dep_hour, crs_dep_time, day_of_week, distance, dep_del15, origin,
          CASE WHEN dep_hour <> 3 THEN carrier END AS carrier,
-         CASE WHEN dep_hour <> 5 THEN dest END AS dest
+         CASE WHEN dep_hour = 9 THEN 'X ' || dest WHEN dep_hour <> 5 THEN dest END AS dest
   FROM flights
 ),
-known AS (SELECT iata FROM airports WHERE city <> 'AMERICA')"""
+known AS (SELECT iata FROM airports)"""
 
 
 def _checks(body: str) -> str:

@@ -73,9 +73,10 @@ def dedup_weather(spark, d):
 
 @query
 def valid_airports_semi(spark, d):
-    known = t.airports(spark, d).where(F.col("city") != "AFRICA")
-    kept = joins.keep_known(t.bronze_flights(spark, d), known, ["origin", "dest"], "iata")
-    return kept.select(FLIGHT, "origin", "dest")
+    """Requests between known airports; every twenty-seventh origin has none."""
+    asked = t.requests(spark, d).withColumns({c: F.upper(c) for c in ("origin", "dest")})
+    kept = joins.keep_known(asked, t.airports(spark, d), ["origin", "dest"], "iata")
+    return kept.select("request_id", "origin", "dest")
 
 
 @query
@@ -112,26 +113,20 @@ def union_by_name_missing(spark, d):
 
 @query
 def pending_partitions(spark, d):
-    """Months in which a nation ordered but shipped nothing on the first line."""
+    """Days on which a nation ordered but shipped nothing."""
     nation = t.bronze_airports(spark, d).select("iata")
-    orders = t.requests(spark, d).select(
-        F.upper("dest").alias("iata"),
-        F.year("flight_date").alias("year"),
-        F.month("flight_date").alias("month"),
-    )
-    stored = t.flights(spark, d).where(F.col("dep_hour") == 7).select(
-        F.col("origin").alias("iata"), "year", "month"
-    )
+    orders = t.requests(spark, d).select(F.upper("dest").alias("iata"), "flight_date")
+    stored = t.flights(spark, d).select(F.col("origin").alias("iata"), "flight_date")
     wanted = joins.keep_known(orders, nation, ["iata"], "iata")
-    return maintain.pending_partitions(wanted, stored, ["iata", "year", "month"])
+    return maintain.pending_partitions(wanted, stored, ["iata", "flight_date"])
 
 
 @query
 def dim_patch(spark, d):
-    dim = t.airports(spark, d).where(F.col("city") != "ASIA").select("iata", "name", "lat", "lon")
-    patch = t.airports(spark, d).select(
-        "iata", F.concat(F.lit("Patched "), "iata").alias("name"), "lat", "lon"
-    )
+    """A patch of known codes, which change nothing, and of as many new ones."""
+    dim = t.airports(spark, d).select("iata", "name", "lat", "lon")
+    codes = F.explode(F.array("iata", F.concat(F.lit("X "), "iata"))).alias("iata")
+    patch = dim.select(codes, "lat", "lon").select("iata", F.concat(F.lit("Patched "), "iata").alias("name"), "lat", "lon")
     return airport_source.append_absent(dim, patch)
 
 
@@ -475,9 +470,9 @@ def top_delayed_routes(spark, d):
 
 
 def _carrier_names(spark, d) -> DataFrame:
-    """Display names for the carriers of urgent and high-priority orders only."""
+    """A display name for the carrier of every order."""
     codes = t.table(spark, d, "orders").select(F.col("o_orderpriority").alias("code")).distinct()
-    return codes.where(F.col("code") < "3").withColumn("name", F.initcap("code"))
+    return codes.withColumn("name", F.initcap("code"))
 
 
 @query
@@ -549,7 +544,7 @@ def airport_congestion(spark, d):
 
 @query
 def airports_in_use(spark, d):
-    dim = t.airports(spark, d).where(F.col("city") != "EUROPE").select("iata", "name")
+    dim = t.airports(spark, d).select("iata", "name")
     return joins.airports_in_use(t.flights(spark, d), dim, 12)
 
 
@@ -747,12 +742,29 @@ def evaluation(spark, d):
     )
 
 
+_MODELS: dict[tuple[str, str], tuple] = {}
+
+
 def _trained(spark, d) -> tuple[learn.Bundle, DataFrame, DataFrame]:
-    """A small model on the stored feature table: few rounds, the whole table."""
-    table = stored(gold_features(spark, d))
-    settings = learn.Boosting(rounds=5, learning_rate=0.2, max_depth=4)
-    bundle, results = learn.train_bundle(table, t.TRAIN, t.TEST, settings)
-    return bundle, results, table
+    """The default model on the stored feature table, trained once per application and folder."""
+    at = spark.sparkContext.applicationId, d
+    if at not in _MODELS:
+        table = stored(gold_features(spark, d))
+        _MODELS[at] = *learn.train_bundle(table, t.TRAIN, t.TEST), table
+    return _MODELS[at]
+
+
+@query
+def training_facts(spark, d):
+    """What of a training does not depend on the learner, and that calibration did no harm."""
+    told = _trained(spark, d)[1]
+    fixed = ("test_positive_rate", "baseline_roc_auc", "baseline_pr_auc", "baseline_brier")
+    return told.select(
+        "n_test",
+        *[F.round(c, 9).alias(c) for c in fixed],
+        (F.col("calib_brier_after") <= F.col("calib_brier_before")).alias("calibrated_not_worse"),
+        (F.col("rounds_used") > 0).alias("has_rounds"),
+    )
 
 
 @query
@@ -793,11 +805,11 @@ def gate(spark, d):
 
 
 def _checked(spark, d) -> DataFrame:
-    """Flights with gaps in two columns."""
+    """Flights with gaps in two columns and codes that no airport has."""
     return t.flights(spark, d).withColumns(
         {
             "carrier": F.when(F.col("dep_hour") != 3, F.col("carrier")),
-            "dest": F.when(F.col("dep_hour") != 5, F.col("dest")),
+            "dest": F.when(F.col("dep_hour") == 9, F.concat(F.lit("X "), "dest")).when(F.col("dep_hour") != 5, F.col("dest")),
         }
     )
 
@@ -829,13 +841,13 @@ def dq_accepted_range(spark, d):
 
 @query
 def dq_relationships(spark, d):
-    known = t.airports(spark, d).where(F.col("city") != "AMERICA")
+    known = t.airports(spark, d)
     return quality.relationships(_checked(spark, d), "dest", known, "iata")
 
 
 @query
 def dq_report(spark, d):
-    known = t.airports(spark, d).where(F.col("city") != "AMERICA")
+    known = t.airports(spark, d)
     suite = quality.Suite(
         name="flights",
         not_null=["carrier", "dest", "origin"],

@@ -43,6 +43,28 @@ def test_model_beats_baseline(trained):
     assert row.model_brier_calibrated < row.baseline_brier
 
 
+def test_the_best_round_is_kept_with_patience():
+    assert learn.best_round([5, 4, 3, 4, 5, 6, 7], 3) == (3, True)
+    assert learn.best_round([5, 4, 3, 4, 5], 3) == (3, False)
+    assert learn.best_round([3, 4, 5, 2, 1], 2) == (1, True)
+    assert learn.best_round([1.0], 5) == (1, False)
+
+
+def test_boosting_stops_by_the_validation_slice(table):
+    """Pure noise beyond few rounds: far fewer trees than allowed stay, and they are the first of the longer forest."""
+    boosting = learn.Boosting(rounds=40, learning_rate=0.5, max_depth=5, min_rows_per_leaf=5, patience=5)
+    rows = table.where("year < 2025").withColumn("slice", F.when(F.col("year") < 2024, "fit").otherwise("valid"))
+    pipeline = learn.train_model(rows, rows, boosting)
+    trees = pipeline.stages[-1]
+    assert 1 <= trees.getNumTrees < 40
+    longer = learn.train_model(rows, rows, learn.Boosting(rounds=trees.getNumTrees + 1, learning_rate=0.5, max_depth=5, min_rows_per_leaf=5, patience=40)).stages[-1]
+    for n in range(min(trees.getNumTrees, longer.getNumTrees)):
+        assert trees.trees[n].toDebugString.split("\n", 1)[1] == longer.trees[n].toDebugString.split("\n", 1)[1]
+    scored = learn.raw_scores(pipeline, table.where("year = 2025").limit(20)).collect()
+    assert len(scored) == 20 and all(0 <= r["raw_probability"] <= 1 for r in scored)
+    assert trees.getOrDefault("maxDepth") == 5 and trees.numFeatures == longer.numFeatures
+
+
 def test_scores_survive_saving(spark, table, trained, tmp_path):
     bundle = trained[0]
     learn.save_bundle(bundle, str(tmp_path / "b"))
