@@ -83,8 +83,9 @@ def _repeats(keyed: DataFrame, src: DataFrame, cut, at, work: Workspace) -> Data
 
 
 def _beside(docs: DataFrame, gone: DataFrame, id_col: str, text: str) -> DataFrame:
-    """Every row of ``docs`` as one struct ``row``, so that no input name can clash, with its ``t`` and ``gone``."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("at"), F.col(text).alias("t"))
+    """Every row of ``docs`` as a struct ``row`` and its text ``t``, so that no input name can clash, with ``gone``."""
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
+    rows = docs.select(others.alias("row"), F.col(id_col).alias("at"), F.col(text).alias("t"))
     return rows.join(gone.select(F.col("id").alias("gone_at"), "gone"), F.col("at") == F.col("gone_at"), "left")
 
 
