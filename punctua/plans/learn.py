@@ -206,10 +206,8 @@ def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificatio
     for n in range(rounds):
         trees[n], weights[n] = inner.trees()[n], float(model.treeWeights[n])
     short = jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
-    for param in inner.params():
-        if inner.isDefined(param):
-            short.set(param, inner.getOrDefault(param))
-    return GBTClassificationModel(short)
+    # Settings are copied within the JVM: through Python a long would come back as an int.
+    return GBTClassificationModel(short.copy(inner.extractParamMap()))
 
 
 def raw_scores(pipeline: PipelineModel, rows: DataFrame, out: str = "raw_probability") -> DataFrame:
