@@ -32,9 +32,21 @@ class Grid:
     def index(self, c: Column) -> Column:
         return F.floor(c / F.lit(self.degrees))
 
-    def around(self, c: Column) -> Column:
-        """One row for the cell of ``c`` and for each of its two neighbours on this axis."""
-        return F.explode(F.sequence(self.index(c) - 1, self.index(c) + 1))
+    def reach(self, c: Column, radius: float) -> Column:
+        """The cells of an axis that ``radius`` around ``c`` meets: (cell, whether it lies wholly inside).
+
+        A thousandth of a cell at either end counts as outside, so rounding never makes a
+        cell inside that is not; cells met by that margin alone are listed as well.
+        """
+        low, high, slack = c - F.lit(radius), c + F.lit(radius), self.degrees / 1000
+        cells = F.sequence(self.index(low - slack), self.index(high + slack))
+        return F.transform(
+            cells,
+            lambda k: F.struct(
+                k.alias("cell"),
+                ((k * self.degrees >= low + slack) & ((k + 1) * self.degrees <= high - slack)).alias("inside"),
+            ),
+        )
 
     def put(self, rows: DataFrame, lat: str = "lat", lon: str = "lon") -> DataFrame:
         """``rows`` that have a cell, with its lower edges as ``cell_lat`` and ``cell_lon``."""

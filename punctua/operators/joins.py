@@ -102,30 +102,38 @@ def nearby_counts(
     positions: DataFrame,
     radius: float = NEARBY_DEGREES,
     key: str = "iata",
+    parts: int = 4,
 ) -> DataFrame:
     """Positions within ``radius`` degrees on both axes of every place.
 
-    A range join made an equality join: both sides are put on a grid of cells just
-    over a radius wide, places also into the eight cells around theirs, and the exact test
-    runs on the pairs that share a cell.  Counting starts before the shuffle of the
-    result, and places without any position stay with zero.
+    A range join made equality joins on a grid of ``parts`` cells to the radius.  Cells
+    wholly inside a place's reach add their number of positions, counted before the join,
+    so a crowded cell costs one row; only cells on the border meet positions, equal ones
+    counted together, under the exact test.  Places without any position stay with zero;
+    places or positions without both coordinates count nothing.
     """
-    grid = Grid(radius * 1.001)
-    spread = places.select(
-        F.col(key),
-        F.col("lat").alias("_lat"),
-        F.col("lon").alias("_lon"),
-        grid.around(F.col("lat")).alias("_row"),
-        F.col("lon"),
-    ).select(key, "_lat", "_lon", "_row", grid.around(F.col("lon")).alias("_col"))
-    points = positions.where(F.col("lat").isNotNull() & F.col("lon").isNotNull()).select(
-        "lat", "lon", grid.index(F.col("lat")).alias("_row"), grid.index(F.col("lon")).alias("_col")
+    grid, cell = Grid(radius / parts), ["_row", "_col"]
+    known = [~F.isnan(c) & F.col(c).isNotNull() for c in ("lat", "lon")]
+    spots = (
+        positions.where(known[0] & known[1])
+        .groupBy(grid.index(F.col("lat")).alias("_row"), grid.index(F.col("lon")).alias("_col"), "lat", "lon")
+        .agg(F.count("*").alias("_n"))
     )
-    hits = points.join(spread, ["_row", "_col"]).where(
-        (F.abs(F.col("lat") - F.col("_lat")) <= radius)
-        & (F.abs(F.col("lon") - F.col("_lon")) <= radius)
+    near = (
+        places.where(known[0] & known[1])
+        .select(key, F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.explode(grid.reach(F.col("lat"), radius)).alias("_row"))
+        .select("*", F.explode(grid.reach(F.col("_lon"), radius)).alias("_col"))
+        .select(
+            key, "_lat", "_lon", F.col("_row.cell").alias("_row"), F.col("_col.cell").alias("_col"),
+            (F.col("_row.inside") & F.col("_col.inside")).alias("_inside"),
+        )
+    )
+    crowds = spots.groupBy(*cell).agg(F.sum("_n").alias("_n"))
+    inner = near.where("_inside").join(crowds, cell).select(key, "_n")
+    border = near.where("not _inside").join(spots, cell).where(
+        (F.abs(F.col("lat") - F.col("_lat")) <= radius) & (F.abs(F.col("lon") - F.col("_lon")) <= radius)
     )
-    counts = hits.groupBy(key).agg(F.count("*").alias("aircraft_nearby"))
+    counts = inner.unionByName(border.select(key, "_n")).groupBy(key).agg(F.sum("_n").alias("aircraft_nearby"))
     nearby = F.coalesce("aircraft_nearby", F.lit(0).cast("bigint"))
     return places.join(counts, key, "left").withColumns(
         {"aircraft_nearby": nearby, "level": congestion_level(nearby)}

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 import random
 import statistics
 
 import pytest
 from pyspark.sql import functions as F
 
+from punctua import session
 from punctua.operators import joins, keyed, medians, metrics, quality, slices
 from punctua.operators.history import fit_base_rates, mean_label, score_base_rate
 
@@ -50,6 +52,34 @@ def test_nearby_counts_equal_brute_force(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_a_crowded_cell_is_counted_before_the_join(spark):
+    """Half of all positions in one cell: inside a place's reach it is one row, at the border its distinct spots."""
+    rng = random.Random(8)
+    points = [(40.0 + rng.random() / 10, -99.9 + rng.random() / 10) for _ in range(4000)]
+    points += [(41.5, -100.0)] * 3000 + [(rng.uniform(36, 44), rng.uniform(-104, -96)) for _ in range(1000)]
+    points += [(float("nan"), -100.0), (40.0, None), (float("inf"), 0.0)]
+    places = [("A", 40.0, -100.0), ("B", 40.0, -98.5), ("N", None, -100.0), ("A", 40.0, -100.0)]
+    dim = spark.createDataFrame(places, "iata string, lat double, lon double")
+    pos = spark.createDataFrame(points, "lat double, lon double")
+    out = joins.nearby_counts(dim, pos)
+    reach = {k: sum(1 for a, b in points if b is not None and abs(a - la) <= 1.5 and abs(b - lo) <= 1.5)
+             for k, la, lo in places[:2]}
+    assert sorted((r.iata, r.aircraft_nearby) for r in out.collect()) == [
+        ("A", 2 * reach["A"]), ("A", 2 * reach["A"]), ("B", reach["B"]), ("N", 0)]
+    a_only = joins.nearby_counts(dim.where("iata = 'A'"), pos)
+    a_only.collect()
+    joined, nodes = [], [a_only._jdf.queryExecution().executedPlan().executedPlan()]
+    while nodes:
+        node = nodes.pop()
+        if "Join" in node.nodeName():
+            joined.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+        if node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+    assert joined and max(joined) < 1000
+
+
 def test_joins_force_no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
@@ -102,6 +132,22 @@ def test_exact_medians_equal_brute_force(spark):
             assert got[key][col] == want
 
 
+@pytest.mark.parametrize("most", [4, 100])
+def test_medians_beside_an_outlier_sort_no_full_slot(spark, monkeypatch, most):
+    """One far value puts all others of its group into one slot; the slot is split until it is small."""
+    rng = random.Random(4)
+    rows = [("far", rng.uniform(0, 1)) for _ in range(4000)] + [("far", 1e300)]
+    rows += [("skewed", math.exp(rng.uniform(-200, 200))) for _ in range(1999)] + [("skewed", 0.5)] * 1500
+    rows += [("not", float(k)) for k in (3, 1, 2)] + [(None, 5.0), (None, 7.0)]
+    kept = []
+    monkeypatch.setattr(medians, "stored", lambda df: kept.append(session.stored(df)) or kept[-1])
+    df = spark.createDataFrame(rows, "o string, x double")
+    got = {r.o: r.median_x for r in medians.exact_medians(df, ["o"], ["x"], bins=8, most=most).collect()}
+    assert got == {k: statistics.median(x for o, x in rows if o == k) for k in ("far", "skewed", "not", None)}
+    largest = [t.groupBy("_keys", "_before").count().agg(F.max("count")).first()[0] for t in kept]
+    assert largest[0] > 3000 and largest[-1] <= most
+
+
 def test_base_rates(spark):
     rows = [("A", "B", i % 2) for i in range(30)] + [("A", "C", 1)] * 29 + [("D", "E", 0)] * 41
     train = spark.createDataFrame(rows, "origin string, dest string, dep_del15 int")
