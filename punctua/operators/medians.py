@@ -12,7 +12,7 @@ SPLITTERS = 63
 
 
 def _holding_middle(sizes: DataFrame, group: Sequence[str], within: Sequence[str]) -> DataFrame:
-    """Of ``(group, within, _slot, _slot_n, _skipped, _first, _second)`` the slots with a middle row.
+    """Of ``(group, within, _slot, _slot_n, _values, _skipped, _first, _second)`` the slots with a middle row.
 
     ``_skipped`` rows of the group lie below all its slots here; the result has the number
     below each slot as ``_before``, which tells the slots of a group apart from now on.
@@ -26,25 +26,19 @@ def _holding_middle(sizes: DataFrame, group: Sequence[str], within: Sequence[str
     return (
         sizes.select("*", through.alias("_through"), (through - F.col("_slot_n")).alias("_before"))
         .where((F.col("_before") <= F.col("_second")) & (F.col("_through") > F.col("_first")))
-        .select(*group, *within, "_slot", "_before", "_first", "_second")
+        .select(*group, *within, "_slot", "_before", "_first", "_second", "_values")
     )
 
 
-def _full(middle: DataFrame, group: Sequence[str], most: int) -> DataFrame:
-    """Slots of more than ``most`` distinct values."""
-    sizes = middle.groupBy(*group, "_before").agg(F.count("*").alias("_values"))
-    return sizes.where(F.col("_values") > most).drop("_values")
-
-
-def _split(middle: DataFrame, full: DataFrame, group: Sequence[str]) -> DataFrame:
-    """``middle`` with the slots of ``full`` narrowed to the parts that hold a middle row.
+def _split(middle: DataFrame, group: Sequence[str], most: int) -> DataFrame:
+    """``middle`` with slots of over ``most`` values narrowed to the parts that hold a middle row.
 
     A quantile sketch of a slot's distinct values, merged from partial sketches, gives
     splitters of about equal depth, so a split leaves some 1 / 64 of a slot whatever its values.
     """
     slot = [*group, "_before"]
     shares = [F.lit(k / (SPLITTERS + 1)) for k in range(1, SPLITTERS + 1)]
-    wide = middle.join(full, slot, "left_semi")
+    wide = middle.where(F.col("_values") > most)
     splitters = wide.groupBy(*slot).agg(F.percentile_approx("_v", F.array(*shares), 10_000).alias("_splitters"))
     parts = wide.join(splitters, slot).select(
         *group,
@@ -56,10 +50,12 @@ def _split(middle: DataFrame, full: DataFrame, group: Sequence[str]) -> DataFram
         F.size(F.filter("_splitters", lambda s: s <= F.col("_v"))).alias("_slot"),
     )
     # The middle rows are the same all over a slot, so grouping by them parts nothing further.
-    sizes = parts.groupBy(*group, "_skipped", "_slot", "_first", "_second").agg(F.sum("_n").alias("_slot_n"))
+    sizes = parts.groupBy(*group, "_skipped", "_slot", "_first", "_second").agg(
+        F.sum("_n").alias("_slot_n"), F.count("*").alias("_values")
+    )
     kept = _holding_middle(sizes, group, ["_skipped"]).drop("_first", "_second")
     narrowed = parts.join(kept, [*group, "_skipped", "_slot"]).drop("_skipped", "_slot")
-    return middle.join(full, slot, "left_anti").unionByName(narrowed)
+    return middle.where(F.col("_values") <= most).unionByName(narrowed)
 
 
 def exact_medians(
@@ -103,20 +99,19 @@ def exact_medians(
     slotted = counts.join(span, group).select(*group, "_v", "_n", slot.alias("_slot"))
 
     total = Window.partitionBy(*group)
-    sizes = slotted.groupBy(*group, "_slot").agg(F.sum("_n").alias("_slot_n"))
+    sizes = slotted.groupBy(*group, "_slot").agg(F.sum("_n").alias("_slot_n"), F.count("*").alias("_values"))
     sizes = sizes.select(
         *group,
         "_slot",
         "_slot_n",
+        "_values",
         F.lit(0).cast("bigint").alias("_skipped"),
         ((F.sum("_slot_n").over(total) - 1) / 2).cast("bigint").alias("_first"),
         (F.sum("_slot_n").over(total) / 2).cast("bigint").alias("_second"),
     )
     middle = stored(slotted.join(_holding_middle(sizes, group, []), [*group, "_slot"]).drop("_slot"))
-    full = _full(middle, group, most)
-    while not full.isEmpty():
-        middle = stored(_split(middle, full, group))
-        full = _full(middle, group, most)
+    while not middle.where(F.col("_values") > most).isEmpty():
+        middle = stored(_split(middle, group, most))
     in_slot = Window.partitionBy(*group, "_before").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
