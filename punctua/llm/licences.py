@@ -29,6 +29,89 @@ TEMPLATES = {
     "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
     "following conditions are met:",
 }
+# Notices and clauses of further licences, by licence or licence-part.
+NOTICES = {
+    "apache-2.0-terms": "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+    "distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License "
+    "for the specific language governing permissions and limitations under the License.",
+    "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any "
+    "later version.",
+    "gpl-2.0-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License version 2 as published by the Free Software Foundation.",
+    "lgpl-2.1": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+    "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+    "option) any later version.",
+    "lgpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+    "any later version.",
+    "agpl-3.0": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+    "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) "
+    "any later version.",
+    "gpl-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the "
+    "implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+    "mit-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions "
+    "of the Software.",
+    "mit-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT "
+    "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE "
+    "AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer.",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+    "following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-3-clause": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission.",
+    "bsd-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED "
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE "
+    "ARE DISCLAIMED.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+    "provided that the above copyright notice and this permission notice appear in all copies.",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 "
+    "which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
+    "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+    "commercial or non-commercial, and by any means.",
+    "cc0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
+}
+# How short forms begin, and the names that follow them, by licence.
+VERBS = ("licensed", "released", "distributed", "available", "provided", "published")
+NAMES = {
+    "apache-2.0": ("the Apache License 2.0", "the Apache License, Version 2.0"),
+    "mit": ("the MIT License", "the terms of the MIT License"),
+    "bsd-2-clause": ("the BSD 2-Clause License", "the 2-Clause BSD License"),
+    "bsd-3-clause": ("the BSD 3-Clause License", "the 3-Clause BSD License"),
+    "isc": ("the ISC License",),
+    "mpl-2.0": ("the Mozilla Public License 2.0", "the Mozilla Public License, Version 2.0"),
+    "epl-2.0": ("the Eclipse Public License 2.0",),
+    "gpl-2.0": ("the GNU General Public License v2.0", "the GNU General Public License, version 2"),
+    "gpl-3.0": ("the GNU General Public License v3.0", "the GNU General Public License, version 3"),
+    "lgpl-2.1": ("the GNU Lesser General Public License v2.1", "the GNU Lesser General Public License, version 2.1"),
+    "lgpl-3.0": ("the GNU Lesser General Public License v3.0", "the GNU Lesser General Public License, version 3"),
+    "agpl-3.0": ("the GNU Affero General Public License v3.0", "the GNU Affero General Public License, version 3"),
+    "cc-by-4.0": ("CC BY 4.0", "a Creative Commons Attribution 4.0 International License"),
+    "cc-by-sa-4.0": ("CC BY-SA 4.0", "Creative Commons BY-SA 4.0",
+                     "a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    "cc-by-nc-4.0": ("CC BY-NC 4.0", "Creative Commons BY-NC 4.0",
+                     "a Creative Commons Attribution-NonCommercial 4.0 International License"),
+    "cc-by-nd-4.0": ("CC BY-ND 4.0", "Creative Commons BY-ND 4.0",
+                     "a Creative Commons Attribution-NoDerivatives 4.0 International License"),
+    "cc-by-nc-sa-4.0": ("CC BY-NC-SA 4.0", "Creative Commons BY-NC-SA 4.0",
+                        "a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"),
+}
+
+
+def usual_templates() -> dict[str, str]:
+    """Notices, clauses and short forms of the usual licences, by ``licence-part``."""
+    given = {t.rstrip(".").lower() for t in TEMPLATES.values()}
+    lines = {f"{licence}-line-{k}-{verb}": f"{verb} under {name}"
+             for licence, names in NAMES.items() for k, name in enumerate(names) for verb in VERBS
+             if f"{verb} under {name}".lower() not in given}
+    return TEMPLATES | NOTICES | lines
+
+
 FOUND = "doc_id bigint, licence string, containment double, start bigint, words bigint"
 
 
@@ -74,8 +157,9 @@ class Scanner:
     and the band count makes them meet with probability ``certain``.
     """
 
-    def __init__(self, templates: dict[str, str], width: int, least: float, rows: int, certain: float):
+    def __init__(self, templates: dict[str, str], width: int, least: float, rows: int, certain: float, whole: frozenset = frozenset()):
         self.width, self.least, self.rows, self.classes = width, least, rows, {}
+        self.whole = whole
         for name, text in sorted(templates.items()):
             words, _ = hashed_words(pa.array([text]))
             if not len(words):
@@ -84,6 +168,7 @@ class Scanner:
             marks = np.unique(shingles(words, width))
             self.classes.setdefault(size, []).append((name, marks, len(words)))
         self.all = np.unique(np.concatenate([m for c in self.classes.values() for _, m, _ in c] or [np.zeros(0, np.uint64)]))
+        self.marks = {size: np.unique(np.concatenate([m for _, m, _ in held])) for size, held in self.classes.items()}
         self.bands, self.tables = {}, {}
         for size, held in self.classes.items():
             # share * |template| shared of at most |window| + (1 - share) * |template| in all
@@ -107,11 +192,12 @@ class Scanner:
         """{licence: (best containment, its window's first word, words in it)} of one text.
 
         ``hits`` are the shingles that occur in some template: windows without any
-        contain nothing of a template and are not hashed.
+        contain nothing of a template and are not hashed; a class asks for its own ones.
         """
         found = {}
         for size, held in self.classes.items():
-            first = np.unique(np.concatenate([hits // size, np.maximum(hits // size - 1, 0)]))
+            own = hits[np.isin(h[hits], self.marks[size])]
+            first = np.unique(np.concatenate([own // size, np.maximum(own // size - 1, 0)]))
             for w in first.tolist():
                 part = h[w * size:w * size + max(1, 2 * size - self.width + 1)]
                 if not len(part):
@@ -121,26 +207,43 @@ class Scanner:
                 for k in met:
                     name, want, _ = held[k]
                     share = np.isin(want, marks, assume_unique=True).mean()
-                    if share >= self.least and (name not in found or share > found[name][0]):
+                    if share >= (1 if name in self.whole else self.least) and (name not in found or share > found[name][0]):
                         found[name] = (float(share), w * size, min(2 * size, len(words) - w * size))
         return found
 
 
+def unrivalled(found: dict[str, tuple[float, int, int]], families: dict[str, str]) -> dict[str, tuple[float, int, int]]:
+    """``found`` without templates that a better one of their family outdoes in an overlapping window."""
+    out = {}
+    for name, (share, start, n) in found.items():
+        family = families.get(name)
+        if family is None or not any(
+            families.get(other) == family and s > share and a < start + n and start < a + m
+            for other, (s, a, m) in found.items()
+        ):
+            out[name] = (share, start, n)
+    return out
+
+
 def licences(
     docs: DataFrame, templates: dict[str, str] = TEMPLATES, width: int = 5, least: float = 0.8, rows: int = 1,
-    certain: float = 0.99999, id_col: str = "doc_id", text: str = "text",
+    certain: float = 0.99999, id_col: str = "doc_id", text: str = "text", families: dict[str, str] | None = None,
+    whole: frozenset = frozenset(),
 ) -> DataFrame:
     """``(doc_id, licence, containment, start, words)``: one row for each licence in each document.
 
     A licence is in a document if some window of it contains the share ``least`` of the
-    template's ``width``-word shingles; the best (then first) window is given.  One pass
-    without a shuffle; templates are a parameter and travel with the task.
+    template's ``width``-word shingles; the best (then first) window is given.  Templates
+    in ``whole`` must be contained entirely.  Of templates that ``families`` gives one
+    family, as versions of one notice, one is left out where its window overlaps that of
+    another with a greater share.  One pass without a shuffle; templates are a parameter
+    and travel with the task.
 
     Defined cases: null, empty and wordless texts give no row, nor does an empty table or
-    an empty template; texts of under ``width`` words are one shingle; rows may repeat.
+    an empty template; texts of under ``width`` words are one shingle; rows may repeat, null ids stay null.
     """
     def run(batches):
-        scanner = Scanner(templates, width, least, rows, certain)
+        scanner = Scanner(templates, width, least, rows, certain, whole)
         for b in frames_of(batches, 16 << 20):
             words, at = hashed_words(b.column(1))
             sizes = np.diff(at)
@@ -157,7 +260,8 @@ def licences(
             out, names = [], b.column(0)
             for i in np.unique(owner).tolist():
                 own = hits[np.searchsorted(owner, i):np.searchsorted(owner, i, "right")] - start[i]
-                for name, (share, first, size) in sorted(scanner.scan(words[at[i]:at[i + 1]], h[start[i]:start[i + 1]], own).items()):
+                held = unrivalled(scanner.scan(words[at[i]:at[i + 1]], h[start[i]:start[i + 1]], own), families or {})
+                for name, (share, first, size) in sorted(held.items()):
                     out.append((names[i].as_py(), name, share, first, size))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()))],

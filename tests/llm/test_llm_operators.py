@@ -283,6 +283,33 @@ def test_licences_match_brute_force(spark, awkward):
     assert licences.licences(awkward).count() == 0
 
 
+def test_usual_licences_are_told_apart(spark):
+    held = licences.usual_templates()
+    lines = frozenset(n for n in held if "-line" in n)
+    families = {n: "gnu" for n in held if n.startswith(("gpl-2", "gpl-3", "lgpl", "agpl")) and n not in lines}
+    fill = " ".join(f"f{i}" for i in range(300))
+    names = sorted(held)
+    texts = [f"{fill} {held[n]} {fill}" for n in names]
+    texts += ["Licensed under the MIT License", "licensed under Creative Commons BY-NC 4.0", "the MIT License",
+              f"{held['lgpl-3.0']} {fill} {held['gpl-3.0']}", "x " * 1_500_000 + held["isc"]]
+    got = {}
+    for r in licences.licences(docs_of(spark, texts), held, families=families, whole=lines).collect():
+        got.setdefault(r["doc_id"], set()).add(r["licence"])
+    for i, n in enumerate(names):
+        assert n in got[i]
+        assert not {m for m in got[i] if families.get(m)} - {n} or n not in families, n
+        words = re.findall("[a-z0-9]+", held[n].lower())
+        for m in got[i] & lines:
+            want = re.findall("[a-z0-9]+", held[m].lower())
+            assert any(words[k:k + len(want)] == want for k in range(len(words))), (n, m)
+    n = len(names)
+    assert got[n] == {"mit-line-0-licensed"} and got[n + 1] == {"cc-by-nc-4.0-line-1-licensed"} and n + 2 not in got
+    assert got[n + 3] == {"lgpl-3.0", "gpl-3.0"} and got[n + 4] == {"isc"}
+    nameless = spark.createDataFrame([(None, held["isc"])], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in licences.licences(nameless, held).collect()] == [None]
+    assert licences.licences(nameless.limit(0), held, families=families, whole=lines).count() == 0
+
+
 def test_words_tokenise_as_whole_texts():
     """Ids of texts put together from their words are the tokenizer's own, with odd punctuation and letters too."""
     path = tokenizer("word_bpe_49k.json")
