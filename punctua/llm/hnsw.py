@@ -155,17 +155,36 @@ def unit_rows(vectors: pd.Series) -> np.ndarray:
     return v / np.sqrt(np.einsum("ij,ij->i", v, v))[:, None]
 
 
+def planted(unit: np.ndarray, least: float, most: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """Up to ``most`` rows of a shard, evenly spaced, and for each a vector just over ``least`` alike in a random direction."""
+    at = np.unique(np.linspace(0, len(unit) - 1, min(most, len(unit))).astype(np.int64))
+    aside = np.random.default_rng(11).normal(size=(len(at), unit.shape[1]))
+    aside -= np.einsum("ij,ij->i", aside, unit[at])[:, None] * unit[at]
+    aside /= np.maximum(np.sqrt(np.einsum("ij,ij->i", aside, aside)), 1e-12)[:, None]
+    alike = min(1.0, least + 1e-3)
+    return at, alike * unit[at] + np.sqrt(1 - alike**2) * aside
+
+
 def links_in_shard(graph, ids, unit, query_ids, queries, least: float, recall: float, beam: int, audit: int):
     """Links of the queries with one shard: (counts by query, pairs' query ids, pairs' ids).
 
-    The audit compares the links of every ``audit``-th query, chosen by position, with an
-    exact scan and doubles the beam until the wanted share is found.  A beam that ends
-    full of links may hide more: those queries scan the shard exactly.
+    The audit doubles the beam until the wanted share is found of two sets: the links of
+    every ``audit``-th query, chosen by position, with other ids, known from an exact scan;
+    and the links planted just over the threshold (:func:`planted`), which are there
+    however few near copies the table has.  A beam that ends full of links may hide more:
+    those queries scan the shard exactly.  Rows sharing an id count as one vector.
     """
     close = least - 1e-4  # the graph works in single precision
     probe = np.arange(0, len(queries), audit)
     truth = unit @ queries[probe].T >= least if len(probe) else np.zeros((len(ids), 0), bool)
+    truth &= ids[:, None] != query_ids[probe][None, :]
+    source, near_source = planted(unit, least)
     while True:
+        near, sims = graph.search(near_source, min(beam, len(ids)))
+        seen = ((near == source[:, None]).any(1) | (sims >= close).all(1)).sum()
+        if beam < len(ids) and seen < recall * len(source):
+            beam *= 2
+            continue
         found_q, found_v = [], []
         for at in range(0, len(queries), 1024):
             part = queries[at:at + 1024]
@@ -182,12 +201,16 @@ def links_in_shard(graph, ids, unit, query_ids, queries, least: float, recall: f
                 found_q.append(at + wide[w + r])
                 found_v.append(v)
         q, v = np.concatenate(found_q or [probe]), np.concatenate(found_v or [probe])
+        other = ids[v] != query_ids[q]
+        q, v = q[other], v[other]
         in_probe = q % audit == 0
         if beam >= len(ids) or in_probe.sum() >= recall * truth.sum():
             break
         beam *= 2
-    other = ids[v] != query_ids[q]
-    q, v = q[other], v[other]
+    first, of = np.unique(query_ids, return_index=True)[1], np.searchsorted(np.unique(query_ids), query_ids)
+    if len(first) < len(query_ids) or len(np.unique(ids)) < len(ids):
+        _, once = np.unique(np.stack([query_ids[q], ids[v]]), axis=1, return_index=True)
+        q, v = first[of[q[once]]], v[once]
     return np.bincount(q, minlength=len(queries)), q, v
 
 
@@ -206,7 +229,8 @@ def embedding_groups(
 
     Defined cases: vectors that are null, empty, zero or hold a null or non-finite
     component link with nothing (0 links, their own component); vectors of different
-    dimension never link; rows sharing an id are not linked with one another; a null id
+    dimension never link; rows sharing an id are one vector, linked with what any of them
+    is near (other ids, each counted once for each dimension); a null id
     takes no part and gets a null component, not kept; an empty table gives no rows.
     """
     n = vectors.count()

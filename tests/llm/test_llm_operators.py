@@ -97,6 +97,30 @@ def test_embedding_groups_match_brute_force(vectors, work):
     assert got[301]["n_links"] == 0 and got[301]["kept"] and not got[None]["kept"]
 
 
+def test_embedding_groups_of_repeated_ids_and_empty_tables(spark, vectors, work):
+    rows = [(1, [1.0, 0.0], "x"), (1, [1.0, 0.001], "y"), (2, [1.0, 0.01], "z"), (3, [0.0, 1.0], "x"), (3, [1.0, 0.02], "y")]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, n_links string")
+    got = sorted(tuple(r) for r in hnsw.embedding_groups(df, work, shards=2).collect())
+    assert got == [(1, 2, 1, True)] * 2 + [(2, 2, 1, False)] + [(3, 2, 1, False)] * 2
+    assert hnsw.embedding_groups(vectors.limit(0), work).count() == 0
+
+
+def test_the_audit_widens_beams_without_real_links():
+    """Self links and a lack of near copies hide nothing: planted links decide, whatever the beam begins with."""
+    rng = np.random.default_rng(2)
+    unit = rng.normal(size=(3000, 24))
+    unit /= np.sqrt((unit**2).sum(1))[:, None]
+    ids, world = np.arange(3000), hnsw.SmallWorld(unit)
+    at, near = hnsw.planted(unit, 0.95)
+    assert np.allclose(np.einsum("ij,ij->i", near, unit[at]), 0.951) and len(at) == 256
+    beams, search = [], world.search
+    world.search = lambda q, beam: beams.append(beam) or search(q, beam)
+    counts, _, _ = hnsw.links_in_shard(world, ids, unit, ids, unit, 0.95, 0.995, 1, 50)
+    assert counts.sum() == 0 and max(beams) > 1
+    found = (search(near, max(beams))[0] == at[:, None]).any(1).mean()
+    assert found >= 0.995
+
+
 def test_top_k_matches_brute_force(vectors, work):
     got = topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5, block=64, bits=3).collect()
     rows = {r["vec_id"]: np.floor(np.array(r["embedding"], float) * 256) for r in vectors.collect()
