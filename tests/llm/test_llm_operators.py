@@ -383,6 +383,66 @@ def test_disguised_words_reach_the_decoder():
         assert toxicity._restored(w, restorer) == w
 
 
+def test_the_decoder_equals_exhaustive_search(spark, work):
+    """Every reading of short disguised words, scored in full, against Viterbi."""
+    words = "stupid idiot trash good reading people letters stuff fool hello water coffee".split()
+    model = charlm.log_model(charlm.count_grams(docs_of(spark, [" ".join(words[k:] + words[:k]) for k in range(12)])))
+    restorer = charlm.Restorer(model)
+
+    def readings(edges, i, text, cost):
+        if i == len(edges):
+            yield text, cost
+            return
+        for j, out, extra in edges[i]:
+            yield from readings(edges, j, text + out, cost + extra)
+
+    def scored(text, cost):
+        codes = [charlm.SPACE] * 2 + [charlm.CODE.get(c, charlm.OTHER) for c in text] + [charlm.SPACE]
+        return cost - sum(float(model[codes[k], codes[k + 1], codes[k + 2]]) for k in range(len(codes) - 2))
+
+    rng = random.Random(6)
+    swaps = {"o": "0", "i": "1!|", "e": "3", "a": "4@", "s": "5$", "t": "7+", "l": "1|", "g": "69"}
+    tried = ["", "5|u7", "a$$", "stuupid", "coooool", "1!|1", "s t u p i d", "xq9", "ß3€"]
+    for w in words:
+        tried.append("".join(rng.choice(swaps[c]) if c in swaps and rng.random() < 0.6 else c for c in w))
+    for s in tried:
+        edges = restorer._edges(s, any(x in s for x in " .-_*"))
+        every = {}
+        for text, cost in readings(edges, 0, "", 0.0):
+            every[text] = min(every.get(text, np.inf), scored(text, cost))
+        got = restorer.decode(s)
+        assert every[got] == pytest.approx(min(every.values()), abs=1e-4), (s, got)
+
+
+def test_url_rules_equal_plain_python(spark, work):
+    rng = random.Random(9)
+    hosts = ["example.org", "www.EXAMPLE.org", "example.com", "notexample.org", "a.com", "com", "x.de", "ÀB.com", ""]
+    paths = ["", "/", "/es/", "/en/1", "/en/12/x", "/fr/a", "/FR/a", "/de/", "/de", "/a://b/de/"]
+    urls_ = [f"{rng.choice(['http', 'https', ''])}{rng.choice(['://', '://', ':/'])}{rng.choice(hosts)}{rng.choice(paths)}"
+             f"{rng.choice(['', '?q=/es/', '#de/', '?a&b#c'])}" for _ in range(400)]
+    urls_ += [None, "", "://", "a\nb://example.org/es/\nx", "http://example.org/es/" + "y" * 1_000_000]
+    urls_ += urls_[:3]
+    df = spark.createDataFrame([(k % 400, u, "clash") for k, u in enumerate(urls_)], "page_id long, url string, host string")
+    labelled = spark.createDataFrame([], "url string, bad int")
+    model = urls.fit_urls(labelled, work)
+
+    def judged(k, u):
+        host = path = ""
+        if u is not None and "://" in u:
+            rest = u.split("://", 1)[1]
+            host = re.split("[/?#]", rest, maxsplit=1)[0]
+            path = re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+            host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        fits = [r for r, _ in urls.RULES
+                if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0])) and path.startswith(r[r.index("/"):])]
+        rule = max(fits, key=len, default=None)
+        return k % 400, host, path, rule, dict(urls.RULES).get(rule, "allow")
+
+    got = [(r.page_id, r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(df, model).collect()]
+    assert sorted(got, key=repr) == sorted((judged(k, u) for k, u in enumerate(urls_)), key=repr)
+    assert urls.judge_urls(df.limit(0), model).count() == 0
+
+
 def test_url_rules_and_model(spark, work):
     rows = [f"https://{'www.casino-win' if i % 3 == 0 else 'blog.stone'}.example.net/en/{i}{'?a=1&b=2' if i % 3 == 0 else ''}" for i in range(300)]
     labelled = spark.createDataFrame([(u, int(i % 3 == 0)) for i, u in enumerate(rows)], "url string, bad int")
