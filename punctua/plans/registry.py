@@ -556,12 +556,17 @@ def route_medians(spark, d):
     return out.withColumns({c: scores.round6(F.col(c)) for c in out.columns if "median" in c})
 
 
+# What of the flights the marts and the served features read.
+COUNTED = ("origin", "dest", "carrier", LABEL, "dep_delay_minutes")
+SERVED = (*COUNTED, "year", "flight_date", "distance", "crs_elapsed_time", "cancelled")
+
+
 def _served(spark, d, as_of: bool = False, weather: bool = True) -> DataFrame:
-    flights = t.stored_flights(spark, d)
+    flights = t.stored_flights(spark, d, *SERVED)
     train, _ = slices.temporal_split(flights, t.TRAIN, t.TEST)
     made = (None, None, None)
     if not as_of:
-        totals = stored(marts.mart_totals(staged_flights(flights), ["origin", "dest", "carrier"]))
+        totals = stored(marts.mart_totals(staged_flights(flights, *COUNTED), ["origin", "dest", "carrier"]))
         made = (marts.route_reliability(totals), marts.airport_reliability(totals), marts.carrier_reliability(totals))
     return serving.request_features(
         t.requests(spark, d),

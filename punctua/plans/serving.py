@@ -248,22 +248,18 @@ def forecast_features(
     ``forecasts`` has one (iata, forecast) per airport (``documents.forecast_of``).  A day
     before ``today`` or more than ``horizon`` days after it has no forecast; there, and where
     hour or value are missing, the fill stays.  ``weather_ok`` says whether either end has any
-    forecast value.  The documents are one row per airport, and a request takes one hour out
-    of their arrays in place.
+    forecast value.  The documents become rows of an hour each, of which a request is joined
+    with one at either end.
     """
     at = F.col("flight_date") if day is None else day
-    rows = features
-    for end in ("origin", "dest"):
-        own = forecasts.select(F.col("iata").alias(f"_{end}_at"), F.col("forecast").alias(f"_{end}_doc"))
-        rows = rows.join(own, F.col(end) == F.col(f"_{end}_at"), "left").drop(f"_{end}_at")
     names = {v: suffix for v, (suffix, _) in WEATHER.items()}
-    found = {
-        f"_{end}": F.when(forecast_in_reach(at, today, horizon), forecast_at(F.col(f"_{end}_doc"), at, F.col("dep_hour").cast("int"), names))
-        for end in ("origin", "dest")
-    }
+    rows, reach = features, forecast_in_reach(at, today, horizon)
+    ends = {"origin": "_origin", "dest": "_dest"}
+    for end, out in ends.items():
+        rows = forecast_at(rows, forecasts, end, at, F.col("dep_hour").cast("int"), names, out, reach)
     known = [F.coalesce(*[F.col(f"_{end}.{n}") for n in fill]).isNotNull() for end in ("origin", "dest")]
     values = {f"{end}_{n}": F.coalesce(F.col(f"_{end}.{n}"), F.lit(v)) for end in ("origin", "dest") for n, v in fill.items()}
-    return rows.withColumns(found).withColumns({**values, "weather_ok": known[0] | known[1]}).drop(*found, "_origin_doc", "_dest_doc")
+    return rows.withColumns({**values, "weather_ok": known[0] | known[1]}).drop(*ends.values())
 
 
 def weather_summary(features: DataFrame) -> DataFrame:

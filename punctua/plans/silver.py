@@ -98,12 +98,12 @@ def silver_flights(
     ).select(*SILVER_FLIGHT_COLUMNS)
 
 
-def staged_flights(silver: DataFrame) -> DataFrame:
+def staged_flights(silver: DataFrame, *columns: str) -> DataFrame:
     """Typed reporting view: operated flights only, so that a cancellation never
-    counts as an on-time departure."""
+    counts as an on-time departure.  All its columns, or those named."""
     source = {"flight_number": "flight_number_reporting_airline"}
     return silver.where(F.coalesce(F.col("cancelled").cast("int"), F.lit(0)) == 0).select(
-        *[F.col(source.get(c, c)).cast(t).alias(c) for c, t in STAGED_TYPES.items()]
+        *[F.col(source.get(c, c)).cast(STAGED_TYPES[c]).alias(c) for c in columns or STAGED_TYPES]
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from punctua.contract import (
@@ -111,14 +113,39 @@ def forecast_of(docs: DataFrame, doc: str = "doc", keys: tuple[str, ...] = ("iat
     return docs.select(*keys, F.from_json(doc, HOURLY_SCHEMA)["hourly"].alias("forecast"))
 
 
-def forecast_at(forecast: Column, day: Column, hour: Column, names: dict[str, str]) -> Column:
-    """One hour of parallel arrays as a struct, by its place in the list of times.
+def forecast_hours(docs: DataFrame, names: dict[str, str], keys: Sequence[str]) -> DataFrame:
+    """``(*keys, _hour, _values)``: every hour that a document lists, at its first place in the list of times.
 
-    ``names`` maps variables to the fields of the result.  Nothing is exploded: a row carries
-    its document's arrays and takes one element of each.  Null if the hour is not listed;
-    short or missing series give nulls.
+    ``names`` maps variables to the fields of ``_values``; short or missing series give nulls.
     """
+    hours = docs.select(*keys, "forecast", F.posexplode("forecast.time").alias("_place", "_stamp"))
+    values = F.struct(*[F.get(F.col("forecast")[v], F.col("_place")).alias(name) for v, name in names.items()])
+    return (
+        hours.where(F.col("_stamp").isNotNull())
+        .select(*keys, F.left("_stamp", F.lit(16)).alias("_hour"), "_place", values.alias("_values"))
+        .groupBy(*keys, "_hour")
+        .agg(F.min_by("_values", "_place").alias("_values"))
+    )
+
+
+def forecast_at(
+    rows: DataFrame, forecasts: DataFrame, place: str, day: Column, hour: Column, names: dict[str, str], out: str, known: Column
+) -> DataFrame:
+    """``rows`` with one hour of the forecast of their ``place`` as the struct ``out``.
+
+    ``forecasts`` has (iata, forecast).  Documents become rows of an hour each, so that a row meets
+    five numbers by an equality join instead of carrying arrays and searching them.  Null where
+    ``known`` does not hold or the hour is not listed.  A place with several documents gives a
+    row for each, as a join with the documents does.
+    """
+    lists = forecasts.groupBy("iata").agg(F.collect_list(F.struct("forecast")).alias("_docs"))
+    numbered = lists.select(F.col("iata").alias("_iata"), F.posexplode("_docs").alias("_nth", "_doc"))
+    hours = forecast_hours(numbered.select("_iata", "_nth", "_doc.forecast"), names, ["_iata", "_nth"]).select(
+        F.col("_iata").alias("_at"), F.col("_nth").alias("_of"), "_hour", F.col("_values").alias(out)
+    )
     wanted = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T"), F.lpad(hour.cast("string"), 2, "0"), F.lit(":00"))
-    place = F.array_position(F.transform(forecast["time"], lambda t: F.left(t, F.lit(16))), wanted)
-    values = [F.get(forecast[v], place.cast("int") - 1).alias(name) for v, name in names.items()]
-    return F.when(place > 0, F.struct(*values))
+    rows = rows.withColumn("_wanted", F.when(known, wanted)).join(
+        numbered.select("_iata", "_nth"), F.col(place) == F.col("_iata"), "left"
+    )
+    same = (F.col("_iata") == F.col("_at")) & (F.col("_nth") == F.col("_of")) & (F.col("_wanted") == F.col("_hour"))
+    return rows.join(hours, same, "left").drop("_wanted", "_iata", "_nth", "_at", "_of", "_hour")

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import defaultdict
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +158,38 @@ def test_choose_snapshot(spark):
         "feed string, tier int, as_of bigint, count bigint")
     got = {r.feed: (r.source, r.stale_seconds, r["count"]) for r in serving.choose_snapshot(df, F.lit(1100)).collect()}
     assert got == {"a": ("live", 100, 1), "b": ("cached", 1000, 3), "c": ("sample", 0, 9), "d": ("live", 0, 2), "e": ("cached", 0, 2)}
+
+
+def test_forecast_of_many_requests_and_hours(spark):
+    """A request meets its own hour only: neither the hours of a document nor their order matter."""
+    first = datetime(2024, 1, 1)
+    stamps = [f"{first + timedelta(hours=k):%Y-%m-%dT%H:%M}" for k in range(20_000)]
+    times = stamps + stamps[216:240] + [None]  # a day listed again: its first place holds
+    series = [float(k) for k in range(len(times) - 1000)]  # too short for the last of them
+    docs = [("AAA", (times, series)), ("BBB", (times[::-1], series)), ("CCC", None), ("CCC", (times[:300], series))]
+    forecasts = spark.createDataFrame(docs, "iata string, forecast struct<time:array<string>,temperature_2m:array<double>>")
+    empty = ("precipitation", "wind_speed_10m", "wind_gusts_10m", "snowfall")
+    forecasts = forecasts.withColumn("forecast", F.when(F.col("forecast").isNotNull(), F.struct(
+        "forecast.*", *[F.array().cast("array<double>").alias(v) for v in empty])))
+    ends = F.array(*[F.lit(x) for x in ("AAA", "BBB", "CCC", "nowhere")])
+    rows = spark.range(20_000).select(
+        F.col("id").alias("request_id"), F.expr("date_add(DATE'2024-01-08', CAST(id % 24 AS INT))").alias("flight_date"),
+        F.get(ends, (F.col("id") % 4).cast("int")).alias("origin"), F.lit("AAA").alias("dest"),
+        F.when(F.col("id") % 7 != 3, (F.col("id") % 23).cast("int")).alias("dep_hour"))
+    began = time.perf_counter()
+    found = serving.forecast_features(rows, forecasts, F.to_date(F.lit("2024-01-10")))
+    got = found.select("request_id", "origin_temp_2m", "dest_temp_2m", "weather_ok").collect()
+    assert time.perf_counter() - began < 40
+    place = [{}, {}, {}]
+    for known, listed in zip(place, (times, times[::-1], times[:300])):
+        for k, stamp in enumerate(listed):
+            known.setdefault(stamp, series[k] if k < len(series) else None)
+    want, fill = [], serving.REQUEST_WEATHER_FILL["temp_2m"]
+    for n in range(20_000):
+        day, hour = datetime(2024, 1, 8) + timedelta(days=n % 24), None if n % 7 == 3 else n % 23
+        stamp = f"{day:%Y-%m-%d}T{hour:02d}:00" if hour is not None and 0 <= (day - datetime(2024, 1, 10)).days <= 16 else None
+        here = {0: [place[0]], 1: [place[1]], 2: [{}, place[2]], 3: [{}]}[n % 4]
+        for own in here:
+            a, b = own.get(stamp) if stamp else None, place[0].get(stamp) if stamp else None
+            want.append((n, fill if a is None else a, fill if b is None else b, a is not None or b is not None))
+    assert sorted(tuple(r) for r in got) == sorted(want)
