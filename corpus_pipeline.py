@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated passages leave the texts; a document of which nothing is left goes as well."""
+    """Passages whose content-defined chunks repeat leave the texts; a document of which nothing is left goes as well."""
     work, gone = Workspace(spark, "lines"), unused(docs, "removed")
     # Stored before it is filtered: else the filter would compute every text once more.
     out = work.store(linechunks.dedup_passages(docs, work, out=(unused(docs, "n_lines"), gone)), "cleaned")

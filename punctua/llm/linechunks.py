@@ -21,14 +21,8 @@ def word_count(line: Column) -> Column:
     return F.size(F.filter(F.split(line, " "), lambda w: w != ""))
 
 
-def chunks(text: Column, one_in: int = 4, long_line: int = 50) -> Column:
-    """Array of (text, lines, words): the chunks of a text, in order.
-
-    A rolling hash over the last two line hashes ends a chunk after one line in
-    ``one_in`` on average; since it sees nothing else, an inserted line moves no boundary
-    but those beside it.  A line of ``long_line`` words or more is a chunk of its own.
-    """
-    lines = F.split(F.coalesce(text, F.lit("")), "\n")
+def _ended(lines: Column, one_in: int, long_line: int) -> Column:
+    """Struct of the lines ``l``, their numbers of words ``w`` and the lines (from 1) that end a chunk, ``e``."""
     parts = F.struct(lines.alias("l"), F.transform(lines, line_hash).alias("h"), F.transform(lines, word_count).alias("w"))
 
     def ended(s):
@@ -41,6 +35,16 @@ def chunks(text: Column, one_in: int = 4, long_line: int = 50) -> Column:
 
         return F.struct(s["l"].alias("l"), s["w"].alias("w"), F.filter(F.sequence(F.lit(1), n), last).alias("e"))
 
+    return _bound(parts, ended)
+
+
+def chunks(text: Column, one_in: int = 4, long_line: int = 50) -> Column:
+    """Array of (text, lines, words): the chunks of a text, in order.
+
+    A rolling hash over the last two line hashes ends a chunk after one line in
+    ``one_in`` on average; since it sees nothing else, an inserted line moves no boundary
+    but those beside it.  A line of ``long_line`` words or more is a chunk of its own.
+    """
     def sliced(s):
         def one(end, k):
             begin = F.coalesce(F.get(s["e"], k - 1), F.lit(0))
@@ -51,7 +55,7 @@ def chunks(text: Column, one_in: int = 4, long_line: int = 50) -> Column:
 
         return F.transform(s["e"], one)
 
-    return _bound(_bound(parts, ended), sliced)
+    return _bound(_ended(F.split(F.coalesce(text, F.lit("")), "\n"), one_in, long_line), sliced)
 
 
 def _repeats(keyed: DataFrame, src: DataFrame, cut, at, work: Workspace) -> DataFrame:
@@ -142,49 +146,104 @@ def dedup_lines(
     return _shown(docs, both, text, out)
 
 
+NO_UNITS = "array<struct<k:bigint,h:binary>>"
+
+
+def _span(begin: Column, n: Column) -> Column:
+    """The place of a unit of ``n`` lines; places are in order of their first line, from 0."""
+    return F.shiftleft(begin.cast("bigint"), 32) + n
+
+
+def _begin(k: Column) -> Column:
+    return F.shiftright(k, 32).cast("int")
+
+
+def _lines_in(k: Column) -> Column:
+    return k.bitwiseAND(F.lit(2**32 - 1)).cast("int")
+
+
 def _unit(lines: Column, k: Column) -> Column:
-    """Text of unit ``k``: line k / 2 if even, else the pair of lines around that break."""
-    i = F.shiftright(k, 1)
-    return F.when(k % 2 == 0, F.get(lines, i)).otherwise(F.concat(F.get(lines, i), F.lit("\n"), F.get(lines, i + 1)))
+    """Text of the unit at ``k``."""
+    return F.array_join(F.slice(lines, _begin(k) + 1, _lines_in(k)), "\n")
+
+
+def _units(lines: Column, one_in: int, long_line: int) -> Column:
+    """Array of (whole, inner, beside): what of each content-defined chunk can be looked up, as (k, h).
+
+    ``whole`` is the chunk, if it has three lines or a long one; ``inner`` has its pairs of
+    adjacent lines (a chunk of two lines is one) and ``beside`` the pair around its end.
+    """
+    def listed(s):
+        def pair(i):
+            text = F.concat(F.get(s["l"], i), F.lit("\n"), F.get(s["l"], i + 1))
+            return F.struct(_span(i, F.lit(2)).alias("k"), F.unhex(F.md5(text)).alias("h"))
+
+        def one(end, j):
+            begin = F.coalesce(F.get(s["e"], j - 1), F.lit(0))
+            n, k = end - begin, _span(begin, end - begin)
+            whole = F.struct(k.alias("k"), F.unhex(F.md5(_unit(s["l"], k))).alias("h"))
+            return F.struct(
+                F.when((n > 2) | ((n == 1) & (F.get(s["w"], begin) >= long_line)), whole).alias("whole"),
+                F.when(n > 1, F.transform(F.sequence(begin, end - 2), pair)).otherwise(F.array().cast(NO_UNITS)).alias("inner"),
+                F.when(end < F.size(s["l"]), pair(end - 1)).alias("beside"))
+
+        return F.transform(s["e"], one)
+
+    return _bound(_ended(lines, one_in, long_line), listed)
+
+
+def _asked(listed: DataFrame, work: Workspace) -> DataFrame:
+    """``(id, k, h)`` to look up: every chunk, and the pairs that no repeated chunk answers.
+
+    A chunk that stands before holds only pairs that stand before, so its own are left
+    out.  The first place of a pair is never in such a chunk, hence no pair misses it.
+    """
+    chunk = listed.where("whole is not null")
+    wholes = chunk.select("id", "whole.k", "whole.h")
+    again = work.store(
+        wholes.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("id", "k")).alias("first")).where("n > 1")
+        .select(F.col("h").alias("again"), "first"), "chunks")
+    here = chunk.join(again, F.col("whole.h") == F.col("again"), "left")
+    copy = F.col("first").isNotNull() & (F.struct("id", F.col("whole.k").alias("k")) != F.col("first"))
+    none = F.array().cast(NO_UNITS)
+    beside = F.when(F.col("beside").isNotNull(), F.array("beside")).otherwise(none)
+    pairs = here.select("id", F.concat(F.when(copy, none).otherwise(F.col("inner")), beside).alias("u")).unionByName(
+        listed.where("whole is null").select("id", F.concat("inner", beside).alias("u")))
+    return wholes.unionByName(pairs.select("id", F.explode("u").alias("u")).select("id", "u.*"))
 
 
 def dedup_passages(
     docs: DataFrame, work: Workspace, long_line: int = 50, least_words: int = 20, id_col: str = "doc_id", text: str = "text",
-    out: tuple[str, str] = ("n_lines", "removed"),
+    out: tuple[str, str] = ("n_lines", "removed"), one_in: int = 4,
 ) -> DataFrame:
     """``docs`` with globally repeated passages taken out of ``text``; adds ``n_lines`` and ``removed``.
 
-    Every pair of adjacent lines is looked up, so a passage needs no boundary of its own:
-    it is a maximal run of lines each of whose adjacent pairs stands earlier (by document
-    id, then place).  Runs of ``least_words`` words go, however short their lines, and so do
-    repeated lines of ``long_line`` words.  A line's first occurrence is in no repeated
-    pair, so each distinct line stays somewhere.  Whatever ``dedup_lines`` takes out is
-    inside such a run.
+    Content-defined chunks, as ``dedup_lines`` cuts them, are looked up whatever their words.
+    A passage need not begin or end with one: where a chunk does not repeat as a whole, and
+    between chunks, pairs of adjacent lines are looked up as well.  A passage is a maximal
+    run of lines joined by repeated chunks and pairs: each of its adjacent pairs stands
+    earlier (by document id, then place).  Runs of ``least_words`` words go, however short
+    their lines, and so do repeated lines of ``long_line`` words, each a chunk of its own.
+    A line's first occurrence is in no repeated pair, so each distinct line stays somewhere.
+    Whatever ``dedup_lines`` takes out is inside such a run; ``one_in`` changes the work only.
 
     Bytes are compared and the cases defined as in ``dedup_lines``; texts of one line and
     null texts have 1 line.
     """
     cut = lambda df: df.withColumn("_lines", F.split(F.coalesce("t", F.lit("")), "\n"))
-
-    def units(lines):
-        pairs = F.transform(F.slice(lines, 1, F.size(lines) - 1), lambda l, i: F.struct(
-            (2 * i + 1).alias("k"), F.unhex(F.md5(F.concat(l, F.lit("\n"), F.get(lines, i + 1)))).alias("h")))
-        # A line of so many words has twice as many characters, all but one.
-        long = F.filter(F.transform(lines, lambda l, i: F.when(
-            (F.length(l) >= 2 * long_line - 1) & (word_count(l) >= long_line),
-            F.struct((2 * i).alias("k"), F.unhex(F.md5(l)).alias("h")))), lambda u: u.isNotNull())
-        return F.concat(pairs, long)
-
     src = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text).alias("t"))
-    keyed = cut(src).select("id", F.explode(_bound(F.col("_lines"), units)).alias("u")).select("id", "u.*")
-    gone = _repeats(keyed, src, cut, lambda k: _unit(F.col("_lines"), k), work)
+    listed = work.store(
+        cut(src).select("id", F.explode(_units(F.col("_lines"), one_in, long_line)).alias("u")).select("id", "u.*"), "listed")
+    gone = _repeats(_asked(listed, work), src, cut, lambda k: _unit(F.col("_lines"), k), work)
+    work.drop(listed)
 
     # One expression, bound step by step: nothing in it can be inlined into its lambdas by
     # a later filter, and each step is linear in the lines of the text but for one sort.
     def runs(s):
         n, own = F.size(s["l"]), s["own"]
-        linked = F.transform(F.filter(own, lambda k: k % 2 == 1), lambda k: F.shiftright(k, 1) + 1)
-        alone = F.transform(F.filter(own, lambda k: k % 2 == 0), lambda k: F.shiftright(k, 1))
+        linked = F.flatten(F.transform(
+            F.filter(own, lambda k: _lines_in(k) > 1), lambda k: F.sequence(_begin(k) + 1, _begin(k) + _lines_in(k) - 1)))
+        alone = F.transform(F.filter(own, lambda k: _lines_in(k) == 1), _begin)
         return F.struct(s["l"].alias("l"), alone.alias("alone"), F.concat(_except(n, linked), F.array(n)).alias("begins"))
 
     def leaving(s):

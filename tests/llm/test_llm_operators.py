@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 import time
@@ -241,6 +242,65 @@ def test_passages_of_short_lines(spark, awkward, work):
     assert out.where("removed > 0").count() == 0 and linechunks.dedup_passages(awkward.limit(0), work).count() == 0
 
 
+def test_passages_come_from_content_defined_chunks(spark, monkeypatch):
+    """The pipeline looks up the chunks of the rolling hash, and pairs only where no repeated chunk answers."""
+    kept = {}
+
+    class Kept(Workspace):
+        def store(self, df, name):
+            kept[name] = super().store(df, name)
+            return kept[name]
+
+        def drop(self, *frames):
+            pass
+
+    monkeypatch.setattr(corpus_pipeline, "Workspace", Kept)
+    block = [f"line {k} of the block" for k in range(60)]
+    docs = docs_of(spark, ["\n".join([f"own {i}", *block, f"end {i}"]) for i in range(3)])
+    out = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert out[0].count("\n") == 61 and out[1] == "own 1\nend 1" and out[2] == "own 2\nend 2"
+    asked = [(r["id"], bytes(r["h"])) for r in kept["keyed"].collect()]
+    parts = docs.select("doc_id", F.explode(linechunks.chunks(F.col("text"))).alias("c")).select("doc_id", "c.*").collect()
+    many = [(r["doc_id"], hashlib.md5(r["text"].encode()).digest()) for r in parts if r["lines"] > 2]
+    assert len(many) > 9 and set(many) <= set(asked)
+    assert sum(i == 2 for i, _ in asked) < sum(i == 0 for i, _ in asked) - 20
+
+
+def test_passages_equal_the_rule_on_pairs_of_lines(spark, work):
+    """Whatever the chunks: a run of lines whose adjacent pairs stand earlier goes if it has the words."""
+    rng = np.random.default_rng(12)
+    pool = [" ".join(f"w{k}x{j}" for j in range([1, 4, 9, 55][k % 4])) for k in range(24)] + ["", "a b c"]
+    texts = []
+    for _ in range(60):
+        lines = [pool[k] for k in rng.integers(0, len(pool), rng.integers(0, 12))]
+        if texts and rng.random() < 0.7:
+            old = texts[rng.integers(len(texts))].split("\n")
+            a = rng.integers(len(old))
+            lines[len(lines) // 2:len(lines) // 2] = old[a:a + rng.integers(1, 14)]
+        texts.append("\n".join(lines))
+    seen, want = set(), []
+    for text in texts:
+        lines, pairs, long = text.split("\n"), [], []
+        for i, x in enumerate(lines):
+            for found, unit in ((pairs, tuple(lines[i:i + 2])), (long, (x,))):
+                found.append(unit in seen and (len(unit) == 2 or len(x.split()) >= 50))
+                seen.add(unit) if len(unit) == 2 or found is long else None
+        left, i = [], 0
+        while i < len(lines):
+            j = i
+            while j < len(lines) - 1 and pairs[j]:
+                j += 1
+            run = lines[i:j + 1]
+            goes = sum(len(x.split()) for x in run) >= 20 if j > i else long[i]
+            left += [] if goes else run
+            i = j + 1
+        want.append("\n".join(left))
+    assert sum(a != b for a, b in zip(texts, want)) > 10
+    for one_in in (1, 4, 1000):
+        got = {r["doc_id"]: r["text"] for r in linechunks.dedup_passages(docs_of(spark, texts), work, one_in=one_in).collect()}
+        assert [got[i] for i in range(len(texts))] == want
+
+
 def test_line_dedup_carries_clashing_names(spark, work):
     block = "\n".join(" ".join(f"w{k}x{j}" for j in range(15)) for k in range(5))
     rows = [(i, f"{block}\nown {i}", 1, 2, 3, 4, 5, 6.0) for i in range(4)]
