@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     GBTClassificationModel,
@@ -37,6 +37,7 @@ from punctua.functions.scores import risk_band, round6, top_factors
 from punctua.operators.history import fit_base_rates, score_base_rate
 from punctua.operators.metrics import class_weight, evaluation_table
 from punctua.operators.slices import split_counts, temporal_slices, temporal_split
+from punctua.plans.boosting import fit_boosted
 from punctua.session import cut
 from punctua.sources.tables import require_columns
 
@@ -138,10 +139,7 @@ def train_model(
         F.when(F.col(label) == 1, F.lit(float(weight))).otherwise(1.0).alias("_w"),
         (F.col("slice") == "valid").alias("_valid"),
     )
-    # Every round reads the rows: they are encoded once and stored.
-    encoded = cut(
-        assembler.transform(codes.transform(prepared(rows))).select("features", "_y", "_w", "_valid")
-    )
+    encoded = assembler.transform(codes.transform(prepared(rows)))
     booster = GBTClassifier(
         labelCol="_y",
         weightCol="_w",
@@ -157,31 +155,23 @@ def train_model(
         seed=boosting.seed,
     )
     booster.setProbabilityCol("_p").setRawPredictionCol("_margin")
-    trees = fit_patiently(booster, encoded.where(~F.col("_valid")), encoded.where("_valid"), boosting)
+    trees = fit_patiently(booster, encoded, assembler.getInputCols(), float(weight), boosting)
     return PipelineModel([codes, assembler, trees])
 
 
 def fit_patiently(
-    booster: GBTClassifier, fit: DataFrame, valid: DataFrame, boosting: Boosting
+    booster: GBTClassifier, encoded: DataFrame, columns: Sequence[str], weight: float, boosting: Boosting
 ) -> GBTClassificationModel:
     """The trees up to the round of least validation loss, once no better one has come for ``patience`` rounds.
 
-    A forest of fewer rounds is the beginning of one of more, as the seed fixes each round.  So
-    it is grown to twice its length until the best round lies ``patience`` rounds back or all
-    rounds are used: at most about twice the rounds that are looked at.  Without validation
-    rows all rounds are kept.
+    No round is grown beyond these.  Without validation rows all rounds are kept.
     """
-    rounds = min(boosting.rounds, 2 * boosting.patience)
-    some = not valid.isEmpty()
-    while True:
-        model = booster.copy({booster.maxIter: rounds}).fit(fit)
-        if not some:
-            return model
-        loss = model.evaluateEachIteration(valid)
-        best, stop = best_round(loss, boosting.patience)
-        if stop or rounds >= boosting.rounds:
-            return first_rounds(model, best)
-        rounds = min(boosting.rounds, 2 * rounds)
+
+    def stop(loss: Sequence[float], last: bool = False) -> int | None:
+        best, stopped = best_round(loss, boosting.patience)
+        return best if stopped or last else None
+
+    return fit_boosted(booster, encoded, columns, "_valid", weight, boosting.rounds, stop)
 
 
 def best_round(loss: Sequence[float], patience: int) -> tuple[int, bool]:
@@ -195,21 +185,6 @@ def best_round(loss: Sequence[float], patience: int) -> tuple[int, bool]:
     return best + 1, False
 
 
-def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
-    """``model`` without the trees after ``rounds``."""
-    if rounds >= model.getNumTrees:
-        return model
-    inner, jvm = model._java_obj, SparkSession.active()._jvm
-    tree = jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel
-    gateway = SparkSession.active().sparkContext._gateway
-    trees, weights = gateway.new_array(tree, rounds), gateway.new_array(jvm.double, rounds)
-    for n in range(rounds):
-        trees[n], weights[n] = inner.trees()[n], float(model.treeWeights[n])
-    short = jvm.org.apache.spark.ml.classification.GBTClassificationModel(model.uid, trees, weights, model.numFeatures, 2)
-    # Settings are copied within the JVM: through Python a long would come back as an int.
-    return GBTClassificationModel(short.copy(inner.extractParamMap()))
-
-
 def raw_scores(pipeline: PipelineModel, rows: DataFrame, out: str = "raw_probability") -> DataFrame:
     """Uncalibrated probability; the feature vector stays for the explanation."""
     scored = pipeline.transform(prepared(rows)).withColumn(out, vector_to_array("_p")[1])
@@ -412,14 +387,18 @@ def with_contributions(pipeline: PipelineModel, rows: DataFrame) -> DataFrame:
     plain = rows.withColumn("features", vector_to_array("features"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
 
-    def attribute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def attribute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.empty:
-                continue
-            moves, base = path_contributions(np.stack(batch["features"].to_numpy()), table)
-            yield batch.assign(contributions=list(moves), base=base)
-
-    return plain.mapInPandas(attribute, f"{fields}, contributions array<double>, base double")
+            x = batch.column("features").flatten().to_numpy(zero_copy_only=False)
+            x = x.reshape(batch.num_rows, -1 if batch.num_rows else 1)
+            moves, base = path_contributions(x, table)
+            ends = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(moves.ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, lists, pa.array(base)], [*batch.schema.names, "contributions", "base"]
+            )
+
+    return plain.mapInArrow(attribute, f"{fields}, contributions array<double>, base double")
 
 
 def with_factors(pipeline: PipelineModel, rows: DataFrame, k: int = 3) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from punctua.contract import FEATURES, LABEL
 from punctua.operators.metrics import long_scores, rank_metrics
-from punctua.plans import learn
+from punctua.plans import boosting, learn
 
 
 @pytest.fixture(scope="module")
@@ -133,3 +133,82 @@ def test_auc_agrees_with_mllib(table):
     ours = rank_metrics(long_scores(df, ["p"], "y")).first().roc_auc
     theirs = BinaryClassificationEvaluator(rawPredictionCol="p", labelCol="y", numBins=0).evaluate(df)
     assert ours == pytest.approx(theirs, abs=1e-9)
+
+
+def test_random_numbers_are_sparks(spark):
+    got = [r[0] for r in spark.range(0, 2000, 1, 1).select(F.rand(23)).collect()]
+    assert got == list(boosting.uniform(23, 0, 2000)) and got[777:790] == list(boosting.uniform(23, 777, 13))
+
+
+@pytest.fixture(scope="module")
+def encoded(spark):
+    """Two categories, a constant and numbers, over five partitions; a fifth of the rows are for validation."""
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+
+    h = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(n))
+    df = spark.range(0, 8000, 1, 5).select(
+        h("a", 12).cast("string").alias("a"), h("b", 40).cast("string").alias("b"), F.lit(1.0).alias("k"),
+        *[(h(f"x{i}", 997) / 997).alias(f"x{i}") for i in range(4)], (h("v", 5) == 0).alias("_valid"), h("l", 1000).alias("l"))
+    risk = 0.15 + 0.4 * (F.col("x0") > 0.5).cast("int") + 0.2 * (F.col("a") == "3").cast("int") - 0.1 * F.col("x1")
+    # Nobody of b = 7 is late and everybody of b = 8 is: nodes without variance come up.
+    y = F.when(F.col("b") == "7", 0).when(F.col("b") == "8", 1).otherwise((F.col("l") / 1000 < risk).cast("int"))
+    df = df.withColumns({"_y": y.cast("double"), "_w": F.when(y == 1, 1.7).otherwise(1.0)})
+    codes = StringIndexer(inputCols=["a", "b"], outputCols=["ac", "bc"], handleInvalid="keep").fit(df).transform(df)
+    columns = ["ac", "bc", "k", *[f"x{i}" for i in range(4)]]
+    return VectorAssembler(inputCols=columns, outputCol="features").transform(codes).cache(), columns
+
+
+def booster(rounds, **settings):
+    from pyspark.ml.classification import GBTClassifier
+
+    return GBTClassifier(
+        labelCol="_y", weightCol="_w", predictionCol="_cls", maxBins=48, maxIter=rounds,
+        **{"seed": 17, "stepSize": 0.2, "maxDepth": 6, "minInstancesPerNode": 50, "subsamplingRate": 0.85, "featureSubsetStrategy": "0.7", **settings})
+
+
+@pytest.mark.parametrize("settings", [{}, {"subsamplingRate": 1.0, "featureSubsetStrategy": "all", "maxDepth": 1}])
+def test_trees_are_those_of_mllib(encoded, monkeypatch, settings):
+    """Same splits, node by node, same values and losses; also where a partition makes several blocks.
+
+    With far fewer rows a node, features may tie, and rounding would choose."""
+    rows, columns = encoded
+    monkeypatch.setattr(boosting, "BLOCK", 300)
+    told = []
+
+    def stop(losses, last=False):
+        told[:] = losses
+        return len(losses) if last else None
+
+    theirs = booster(5, **settings).fit(rows.where("not _valid"))
+    ours = boosting.fit_boosted(booster(5, **settings), rows, columns, "_valid", 1.7, 5, stop)
+    assert ours.getNumTrees == 5 and ours.treeWeights == theirs.treeWeights
+    nodes = lambda t: [x.split("Predict:") for x in t.toDebugString.split("\n")[1:]]
+    for a, b in zip(ours.trees, theirs.trees):
+        assert [x[0] for x in nodes(a)] == [x[0] for x in nodes(b)]
+        values = lambda t: [float(x[1]) for x in nodes(t) if len(x) > 1]
+        assert values(a) == pytest.approx(values(b), abs=1e-12)
+    assert told == pytest.approx(theirs.evaluateEachIteration(rows.where("_valid")), abs=1e-12)
+    assert list(ours.featureImportances) == pytest.approx(list(theirs.featureImportances), abs=1e-9)
+    assert ours._java_obj.getMaxDepth() == settings.get("maxDepth", 6) and ours._java_obj.getSeed() == 17
+
+
+def test_no_round_is_grown_beyond_patience(encoded, monkeypatch):
+    rows, columns = encoded
+    grown, one = [], boosting.grown
+    monkeypatch.setattr(boosting, "grown", lambda *a: grown.append(1) or one(*a))
+    settings = learn.Boosting(rounds=60, patience=4)
+    kept = learn.fit_patiently(booster(60, stepSize=1.0, minInstancesPerNode=1), rows, columns, 1.7, settings).getNumTrees
+    assert len(grown) == kept + 4 < 60
+
+
+def test_without_validation_rows_all_rounds_stay(encoded):
+    rows, columns = encoded
+    model = learn.fit_patiently(booster(3), rows.withColumn("_valid", F.lit(False)), columns, 1.7, learn.Boosting(rounds=3))
+    assert model.getNumTrees == 3
+
+
+def test_labels_other_than_0_and_1_are_refused(encoded):
+    rows, columns = encoded
+    odd = rows.withColumn("_y", F.when(F.col("_valid"), 2.0).otherwise(F.col("_y")))
+    with pytest.raises(Exception, match="labels must be 0 or 1"):
+        learn.fit_patiently(booster(3), odd, columns, 1.7, learn.Boosting(rounds=3))
