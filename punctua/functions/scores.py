@@ -51,18 +51,25 @@ def factor(feature: str, value: Column, contribution: Column) -> Column:
 def top_factors(entries: list[tuple[str, Column, Column]], k: int = 3) -> Column:
     """The ``k`` entries with the largest absolute contribution, largest first.
 
-    Works inside the row on an array as long as the feature list.  Equal sizes
-    fall back to the feature name, so the result does not depend on the order in
-    which features are listed.
+    Works inside the row on an array as long as the feature list, of sizes and names
+    only; the entries of the ``k`` picked are written out afterwards.  Equal sizes fall
+    back to the feature name, so the result does not depend on the order in which
+    features are listed.
     """
     keyed = F.array(
         *[
-            F.struct(
-                (-F.abs(contribution)).alias("size"),
-                F.lit(feature).alias("name"),
-                factor(feature, value, contribution).alias("entry"),
-            )
-            for feature, value, contribution in entries
+            F.struct((-F.abs(contribution)).alias("size"), F.lit(feature).alias("name"), F.lit(at).alias("at"))
+            for at, (feature, _, contribution) in enumerate(entries)
         ]
     )
-    return F.transform(F.slice(F.array_sort(keyed), 1, k), lambda x: x["entry"])
+
+    def entry(x: Column) -> Column:
+        *others, last = (factor(*e) for e in entries)
+        if not others:
+            return last
+        cases = F.when(x["at"] == 0, others[0])
+        for at, other in enumerate(others[1:], 1):
+            cases = cases.when(x["at"] == at, other)
+        return cases.otherwise(last)
+
+    return F.transform(F.slice(F.sort_array(keyed), 1, k), entry)

@@ -93,6 +93,14 @@ def test_top_factors(spark):
         ("b", "2.0", -0.5, "decreases"), ("a", "1.0", 0.1, "increases")]
 
 
+def test_only_picked_factors_are_written_out(spark):
+    df = spark.createDataFrame([(1.0,)], "a double")
+    entries = [("a", F.col("a"), F.col("a")), ("b", F.raise_error(F.lit("written out")), F.col("a") / 2),
+               ("c", F.col("a"), F.col("a") * -3)]
+    got = df.select(scores.top_factors(entries, 2).alias("f")).first().f
+    assert [(x.feature, x.contribution, x.direction) for x in got] == [("c", -3.0, "decreases"), ("a", 1.0, "increases")]
+
+
 @pytest.mark.parametrize("raw,snake", [
     ("DepDel15", "dep_del15"), ("Reporting_Airline", "reporting_airline"),
     ("CRSElapsedTime", "crs_elapsed_time"), ("NASDelay", "nas_delay"),
