@@ -9,13 +9,14 @@ and the model's classes are MLlib's, so its trees come out, up to the last digit
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import cache, partial
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import RDD, StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -26,9 +27,9 @@ BLOCK = 1 << 18  # rows that are held together
 CHUNK = 1 << 16  # rows that are counted together: their columns fit a core's cache
 PACK = float(1 << 26)  # a row of label 1 in a sum of counts; a task's blocks have fewer rows
 LANE = 64  # random numbers drawn one after the other
-SAVE_EVERY = 20  # rounds between two checkpoints
+MOST = 1 << 21  # rows of a task, unless a block has more
 EPSILON = 2.0**-52  # MLlib's impurity of a pure node
-ROUNDING = 1e-13  # a gain that is less than this share of the squared targets is one of rounding
+ROUNDING = 1e-13  # a gain of less than this share of the squared targets, or above another gain, is one of rounding
 
 
 # --- random numbers ------------------------------------------------------------------
@@ -137,6 +138,10 @@ class Candidates:
     def widest(self) -> int:
         return max(self.bins)
 
+    @property
+    def small(self) -> np.dtype:
+        return np.dtype(np.uint8 if self.widest <= 256 else np.uint16 if self.widest <= 1 << 16 else np.int32)
+
 
 def candidates(booster: GBTClassifier, fit: DataFrame) -> Candidates:
     """Asks MLlib for the split candidates that its own trees would use on ``fit``."""
@@ -181,11 +186,9 @@ class Block:
 
 def binned(rows: DataFrame, columns: Sequence[str], label: str, valid: str, cand: Candidates) -> DataFrame:
     """Blocks of rows as a table.  Rows keep their partition and order, which decide what is drawn."""
-    small = np.uint8 if cand.widest <= 256 else np.uint16 if cand.widest <= 1 << 16 else np.int32
-
     def of(column: np.ndarray, f: int) -> np.ndarray:
         cuts = cand.thresholds[f]
-        return (column if cuts is None else np.searchsorted(cuts, column)).astype(small)
+        return (column if cuts is None else np.searchsorted(cuts, column)).astype(cand.small)
 
     def to_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, start = TaskContext.get().partitionId(), 0
@@ -221,17 +224,19 @@ def binned(rows: DataFrame, columns: Sequence[str], label: str, valid: str, cand
     )
 
 
-def blocks_of(table: DataFrame, width: int, widest: int) -> RDD:
-    """The stored blocks, dealt out evenly; a partition is some of them, never split."""
-    sc = table.sparkSession.sparkContext
-    small = np.uint8 if widest <= 256 else np.uint16 if widest <= 1 << 16 else np.int32
-    parts = max(1, min(table.count(), 2 * sc.defaultParallelism), table.agg(F.sum(F.length("y"))).first()[0] // (1 << 23))
+STATE = "valid boolean, part int, start bigint, bins binary, y binary, margin binary, drawn binary, root binary"
 
-    def block(r) -> Block:
-        y = np.frombuffer(r.y, np.int8)
-        return Block(r.valid, r.part, r.start, np.frombuffer(r.bins, small).reshape(width, -1), y, np.zeros(len(y)))
 
-    return table.repartition(parts).rdd.map(block)
+def blocks_in(batch: pa.RecordBatch, width: int, small: np.dtype) -> Iterator[Block]:
+    """The blocks of a record batch, as views of it."""
+    get = {c: batch.column(c) for c in batch.schema.names}
+    view = lambda c, i, kind: np.frombuffer(get[c][i].as_buffer(), kind) if c in get and get[c][i].is_valid else None
+    for i in range(batch.num_rows):
+        y, margin = view("y", i, np.int8), view("margin", i, float)
+        yield Block(
+            get["valid"][i].as_py(), get["part"][i].as_py(), get["start"][i].as_py(), view("bins", i, small).reshape(width, -1),
+            y, np.zeros(len(y)) if margin is None else margin, view("drawn", i, bool),
+        )
 
 
 # --- one tree ------------------------------------------------------------------------------
@@ -355,19 +360,33 @@ def counted(block: Block, paths: Paths | None, build: np.ndarray, widest: int, p
     return out
 
 
-def summed(blocks: RDD, one) -> Counts:
-    """The sums of all blocks: added up per partition, and in a tree of tasks where partitions are many."""
+def summed(table: DataFrame, of_batch, tasks: int) -> Counts:
+    """The sums of all blocks: added up per task, then where tasks are many by a few more, then here."""
 
-    def of_partition(some: Iterator) -> Iterator[Counts]:
+    def told(counts: Iterator[Counts]) -> Iterator[pa.RecordBatch]:
         total = None
-        for b in some:
-            c = one(b)
+        for c in counts:
             total = c if total is None else total + c
-        return iter(() if total is None else (unpacked(total),))
+        if total is not None:
+            yield pa.RecordBatch.from_pydict({"sums": pa.array([pickle.dumps(unpacked(total))], pa.binary())})
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return told(c for batch in batches for c in of_batch(batch))
+
+    def of_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return told(pickle.loads(x.as_py()) for batch in batches for x in batch.column("sums"))
+
+    sums = table.mapInArrow(of_task, "sums binary")
+    if tasks > 64:
+        sums = sums.repartition(8).mapInArrow(of_sums, "sums binary")
+    return sum_of([pickle.loads(r.sums) for r in sums.collect()])
 
-    partials = blocks.mapPartitions(of_partition)
-    add = lambda a, b: a + b
-    return partials.treeReduce(add) if partials.getNumPartitions() > 64 else partials.reduce(add)
+
+def sum_of(counts: list[Counts]) -> Counts:
+    total = counts[0]
+    for c in counts[1:]:
+        total = total + c
+    return total
 
 
 def unpacked(c: Counts) -> Counts:
@@ -379,7 +398,11 @@ def unpacked(c: Counts) -> Counts:
 
 
 def best_split(counts: np.ndarray, tried: Sequence[int], cand: Candidates, positive: float, booster: GBTClassifier):
-    """The split of most gain, the first of equals: gain, split, bins that go left, sums of both sides; None if none is allowed."""
+    """The split of most gain: gain, split, bins that go left, sums of both sides; None if none is allowed.
+
+    Features that part the rows alike, as one column and its half do, have gains that differ by
+    rounding at most: of these the first tried is taken, however the sums were added up.
+    """
     least, min_gain, best = booster.getMinInstancesPerNode(), booster.getMinInfoGain(), None
     for f in tried:
         n_bins = cand.bins[f]
@@ -398,7 +421,7 @@ def best_split(counts: np.ndarray, tried: Sequence[int], cand: Candidates, posit
             gain = (lt * lt / lw + rt * rt / rw - t[-1] * t[-1] / w[-1]) / w[-1]
         gain[~((ln >= least) & (rn >= least) & (gain >= min_gain))] = -np.inf
         at = int(np.argmax(gain))
-        if gain[at] > (best[0] if best else -np.inf):
+        if gain[at] > (best[0] + ROUNDING * abs(best[0]) if best else -np.inf):
             left = np.zeros(cand.widest, dtype=bool)
             left[order[: at + 1]] = True
             cut = [float(c) for c in order[: at + 1]] if cand.thresholds[f] is None else float(cand.thresholds[f][at])
@@ -406,7 +429,7 @@ def best_split(counts: np.ndarray, tried: Sequence[int], cand: Candidates, posit
     return best
 
 
-def grown(blocks: RDD, root: Counts, cand: Candidates, positive: float, first: bool, seed: int, booster: GBTClassifier) -> Tree:
+def grown(blocks: DataFrame, tasks: int, root: Counts, cand: Candidates, positive: float, first: bool, seed: int, booster: GBTClassifier) -> Tree:
     """One tree: a job per level.  Of two children the smaller is counted; the other is the rest of its parent."""
     draws = SparkSession.active()._jvm.java.util.Random(seed)
     width, tree = len(cand.bins), Tree()
@@ -435,7 +458,11 @@ def grown(blocks: RDD, root: Counts, cand: Candidates, positive: float, first: b
             smaller[at] = c if tree.sums[c][0] <= tree.sums[c + 1][0] else c + 1
             build[smaller[at]] = len(smaller) - 1
         paths = tree.paths(cand.widest)
-        got = summed(blocks, partial(counted, paths=paths, build=build, widest=cand.widest, positive=positive, first=first))
+
+        def of_batch(batch: pa.RecordBatch, paths=paths, build=build) -> Iterator[Counts]:
+            return (counted(b, paths, build, cand.widest, positive, first) for b in blocks_in(batch, width, cand.small))
+
+        got = summed(blocks, of_batch, tasks)
         held_below = {}
         for at, c in below:
             part = got.bins[build[smaller[at]]]
@@ -476,22 +503,51 @@ def stepped(block: Block, paths: Paths | None, rate: float, share: float, seed:
     return new, root
 
 
-def grow_forest(booster: GBTClassifier, blocks: RDD, cand: Candidates, positive: float, rounds: int, stop) -> list[Tree]:
+def stepped_table(table: DataFrame, width: int, small: np.dtype, **how) -> DataFrame:
+    """The state after a tree, stored; a row is a block and what it tells of the next root."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in blocks_in(batch, width, small):
+                new, root = stepped(b, widest=widest, **how)
+                yield pa.RecordBatch.from_pydict({
+                    "valid": [new.valid], "part": pa.array([new.part], pa.int32()), "start": [new.start],
+                    "bins": pa.array([new.bins.tobytes()], pa.binary()), "y": pa.array([new.y.tobytes()], pa.binary()),
+                    "margin": pa.array([new.margin.tobytes()], pa.binary()),
+                    "drawn": pa.array([None if new.drawn is None else new.drawn.tobytes()], pa.binary()),
+                    "root": pa.array([pickle.dumps(unpacked(root))], pa.binary()),
+                })
+
+    widest = how.pop("widest")
+    return stored(table.mapInArrow(step, STATE))
+
+
+def removed(table: DataFrame) -> None:
+    """Deletes a stored table that nothing will read again."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.inputFiles()[0]).getParent()
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def roots_in(batch: pa.RecordBatch) -> Iterator[Counts]:
+    return (pickle.loads(x.as_py()) for x in batch.column("root"))
+
+
+def grow_forest(booster: GBTClassifier, blocks: DataFrame, cand: Candidates, positive: float, rounds: int, stop) -> list[Tree]:
     """Trees until ``stop`` (asked after each round for the losses so far) says how many are to stay, or all rounds are used."""
-    trees, losses = [], []
+    trees, losses, width = [], [], len(cand.bins)
     rate, share, seed = booster.getStepSize(), booster.getSubsamplingRate(), booster.getSeed()
-    state, paths, before = blocks.map(lambda b: (b, None)), None, None
+    told = blocks.agg(F.count("*"), F.sum(F.length("y"))).first()
+    tasks = max(min(told[0], 2 * blocks.sparkSession.sparkContext.defaultParallelism), told[1] // MOST, 1)
+    state, paths = blocks.repartition(tasks), None
     while True:
         n = len(trees)
-        step = partial(stepped, paths=paths, rate=1.0 if n == 1 else rate, share=share, seed=seed + n,
-                       positive=positive, first=n == 1, widest=cand.widest)
-        state = state.map(lambda s, step=step: step(s[0])).persist(StorageLevel.MEMORY_AND_DISK)
-        if n and n % SAVE_EVERY == 0:
-            state.checkpoint()
-        root = summed(state, lambda s: s[1])
-        if before is not None:
-            before.unpersist()
-        before = state
+        after = stepped_table(state, width, cand.small, paths=paths, rate=1.0 if n == 1 else rate, share=share, seed=seed + n,
+                              positive=positive, first=n == 1, widest=cand.widest)
+        if n:
+            removed(state)
+        state = after
+        root = summed(state.select("root"), roots_in, tasks)
         if n:
             tree, ends = trees[-1], root.squares[1:]
             for at, c in enumerate(tree.child):
@@ -500,12 +556,12 @@ def grow_forest(booster: GBTClassifier, blocks: RDD, cand: Candidates, positive:
             losses.append(root.loss / root.weight if root.weight else np.nan)
             keep = stop(losses) if root.weight else None
             if keep or n >= rounds:
-                state.unpersist()
+                removed(state)
                 return trees[: keep or (stop(losses, True) if root.weight else n)]
         root.squares = root.squares[:1]
-        tree = grown(state.map(lambda s: s[0]), root, cand, positive, not n, seed + n, booster)
-        trees.append(tree)
-        paths = tree.paths(cand.widest)
+        rows = state.where(~F.col("valid")).drop("root")
+        trees.append(grown(rows, tasks, root, cand, positive, not n, seed + n, booster))
+        paths = trees[-1].paths(cand.widest)
 
 
 def as_model(booster: GBTClassifier, trees: Sequence[Tree], cand: Candidates) -> GBTClassificationModel:
@@ -551,5 +607,5 @@ def fit_boosted(
     the weight of label 1."""
     cand = candidates(booster, rows.where(~F.col(valid)))
     table = stored(binned(rows, columns, booster.getLabelCol(), valid, cand))
-    trees = grow_forest(booster, blocks_of(table, len(columns), cand.widest), cand, positive, rounds, stop)
+    trees = grow_forest(booster, table, cand, positive, rounds, stop)
     return as_model(booster, trees, cand)

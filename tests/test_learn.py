@@ -192,6 +192,17 @@ def test_trees_are_those_of_mllib(encoded, monkeypatch, settings):
     assert ours._java_obj.getMaxDepth() == settings.get("maxDepth", 6) and ours._java_obj.getSeed() == 17
 
 
+def test_features_that_part_rows_alike_are_taken_in_order():
+    """The second feature's gain is larger by the rounding of its sums alone."""
+    one = np.array([[30.0, 10, 0.1], [30, 20, 30.3], [0, 0, 0]])
+    other = one * [1, 1, 1 + 4e-16]
+    cand = boosting.Candidates([np.array([0.0, 1.0])] * 2, [3, 3], 2)
+    for first, second in ((one, other), (other, one)):
+        for tried in ((0, 1), (1, 0)):
+            best = boosting.best_split(np.stack([first, second]), tried, cand, 1.7, booster(1, minInstancesPerNode=5))
+            assert best[1] == (tried[0], 0.0) and best[3][0] == 30
+
+
 def test_no_round_is_grown_beyond_patience(encoded, monkeypatch):
     rows, columns = encoded
     grown, one = [], boosting.grown
